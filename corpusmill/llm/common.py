@@ -23,11 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/corpusmill/{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: a cut of the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path

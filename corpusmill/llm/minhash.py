@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     coarse = saved(coarse, "coarse")
     drop(local)
 
-    sets = base.join(coarse.select(F.col("node").alias("doc_id"), "root"), "doc_id").select(F.col("doc_id").alias("node"), "root", "text")
+    sets = base.join(coarse.select(F.col("node").alias("doc_id"), "root").hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "root", "text")
     sets = saved(sets.mapInArrow(_member_sets(n_words, bands, rows, seed), "node bigint, root bigint, n bigint, set binary, signature binary"), "sets")
     totals = sets.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
     totals = totals.select("root", F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("total") / SHINGLES)).cast("int").alias("chunks"))
