@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import minhash
+from . import minhash, pack, shard, suffix_dedup, url_filter
 
 
 def queries() -> dict:
     return {
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op5_shard": shard.op5_shard,
+        "op6_pack": pack.op6_pack,
         "op8_minhash": minhash.op8_minhash,
+        "op9_url_filter": url_filter.op9_url_filter,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "op9_url_filter": url_filter.OP9_SQL,
+    }
