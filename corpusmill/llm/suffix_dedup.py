@@ -52,12 +52,31 @@ def _sliding_least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(key[:-more], key[more:]) if more else key
 
 
+def _spans(offsets: np.ndarray):
+    """Byte ranges of whole texts, about PIECE each; a longer text is cut at multiples of PIECE from its own start."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = int(np.searchsorted(offsets, offsets[i] + PIECE, side="right")) - 1
+        if j > i:
+            yield int(offsets[i]), int(offsets[j])
+            i = j
+        else:
+            for a in range(int(offsets[i]), int(offsets[i + 1]), PIECE):
+                yield a, min(a + PIECE, int(offsets[i + 1]))
+            i += 1
+
+
 def anchors(raw: np.ndarray, offsets: np.ndarray, shape: _Shape):
-    """For each run of windows with one anchor: its position, k-gram hash, document, and least and largest distance to a window's start."""
+    """For each run of windows with one anchor: its position, k-gram hash, document, and least and largest distance to a window's start.
+
+    A text's anchors depend on the text alone, not on its neighbours in the block.
+    """
     found = []
-    n, size, gram = len(raw), shape.length, shape.gram
-    for at in range(0, n - size + 1, PIECE):
-        piece = raw[at : at + PIECE + size - 1]
+    size, gram = shape.length, shape.gram
+    for at, to in _spans(offsets):
+        piece = raw[at : to + size - 1]
+        if len(piece) < size:
+            continue
         up, down = powers(len(piece) + 1)
         total = np.zeros(len(piece) + 1, U64)
         np.cumsum((piece.astype(U64) + U64(1)) * up[:-1], out=total[1:])
@@ -66,7 +85,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, shape: _Shape):
         least = (_sliding_least(key, shape.slots) & U64(0xFFFFF)).astype(np.int64)
         starts = np.arange(len(least))
         doc = np.searchsorted(offsets, starts + at, side="right") - 1
-        ok = starts + at + size <= offsets[doc + 1]
+        ok = (starts + at + size <= offsets[doc + 1]) & (starts + at < to)
         starts, spot, doc = starts[ok], least[ok], doc[ok]
         if not len(starts):
             continue
