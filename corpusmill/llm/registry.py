@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import minhash, pack, shard, suffix_dedup, url_filter
+from . import minhash, pack, shard, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op5_shard": shard.op5_shard,
         "op6_pack": pack.op6_pack,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op8_minhash": minhash.op8_minhash,
         "op9_url_filter": url_filter.op9_url_filter,
     }
