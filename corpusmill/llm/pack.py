@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import unicodedata
 import zlib
 
 import numpy as np
@@ -13,66 +11,41 @@ from pyspark.sql import functions as F
 
 from .common import ids_of, saved
 
-#: White space that the tokenizer's pattern and Python's don't agree on, and numerals that aren't decimal digits.
-_ODD = re.compile("[\x1c-\x1f" + "".join(re.escape(chr(c)) for c in range(0x80, 0x20000) if unicodedata.category(chr(c)) in ("No", "Nl")) + "\U00020000-\U0010ffff]")
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-
-
-class _Known(dict):
-    """Token ids, as little-endian bytes, of the pieces that the tokenizer's pattern makes of a text."""
-
-    LIMIT = 1 << 18
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        ids = self[piece] = np.array(self.encode(piece), "<u4").tobytes()
-        return ids
-
-
 class ByteBpe:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes, equal to the tokenizers library's.
 
-    Byte-pair merges stay within a piece of the splitting pattern, so the ids of a piece
-    are kept and looked up. A text with characters on which regular expressions differ
-    goes to the tokenizers library as it is. Merges of new pieces use the rank file of the
-    same vocabulary, if there is one, which tests compare with the library on every text.
+    ranks: a rank file of the same vocabulary, whose merges run several times as fast; a
+    text with a special token's string goes to the tokenizers library, and so do all texts
+    without ranks.
     """
 
-    def __init__(self, path: str, ranks: str | None):
+    def __init__(self, path: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.merge = None
         if ranks:
             import base64
 
             import tiktoken
 
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks, "rb"))}
-            single = tiktoken.Encoding("own", pat_str=r"\s+|\S+", mergeable_ranks=merges, special_tokens={})._core_bpe.encode_single_piece
-            self.known = _Known(lambda piece: single(piece.encode()))
-        else:
-            self.known = _Known(lambda piece: self.whole.encode(piece, add_special_tokens=False).ids)
+            self.merge = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens={})._core_bpe.encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        if _ODD.search(text) or (self.special and self.special.search(text)):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, _SPLIT.findall(text)))
+        if self.merge and not any(s in text for s in self.special):
+            return np.array(self.merge(text), "<u4").tobytes()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def _pieces(tokenizer: str, ranks: str | None, end: int, limit: int, with_ids: bool):
+def _pieces(tokenizer: str, ranks: str | None, pattern: str | None, end: int, limit: int, with_ids: bool):
     last = np.uint32(end).tobytes()
 
     def run(batches):
         from pyspark import TaskContext
 
-        encode = ByteBpe(tokenizer, ranks)
+        encode = ByteBpe(tokenizer, ranks, pattern)
         part, seen = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
         for batch in batches:
             rows = {k: [] for k in ("at", "piece", "start", "length", "crc", "rank", "ids")}
@@ -196,12 +169,13 @@ def _place(slots: dict):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end: int = 2, limit: int = 1024, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, end: int = 2, limit: int = 1024, with_ids: bool = True) -> DataFrame:
     """Pack documents into sequences of at most ``limit`` tokens by minimum bin slack.
 
     docs: columns doc_id and text; others are not read. Each row's token ids and the id
     ``end`` are cut, if longer than ``limit``, into pieces of ``limit`` of which the first may
-    be shorter. tokenizer and ranks are paths, read on each executor. Null and empty texts
+    be shorter. tokenizer and ranks are paths, read on each executor; ranks and the pattern that
+    splits text before their merges go together. Null and empty texts
     are the one id ``end``; null or repeated doc_ids are packed row by row like any other; an
     empty table gives no rows. with_ids adds the pieces' ids.
 
@@ -213,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end: int = 2
     ids = ", ids array<int>" if with_ids else ""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint{ids}"
-    cut = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_pieces(tokenizer, ranks, end, limit, with_ids), schema)
+    cut = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_pieces(tokenizer, ranks, pattern, end, limit, with_ids), schema)
     pieces = saved(cut, "pieces")
     sizes = saved(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "sizes")
     counts = np.zeros(limit + 1, np.int64)
@@ -227,10 +201,10 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, end: int = 2
     return ranked.select(*columns, "rank").mapInArrow(_place(slots), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint{ids}, sequence_id bigint, offset bigint")
 
 
-def public_paths() -> tuple[str, str]:
+def public_paths() -> tuple[str, str, str]:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op6_pack(spark, sf_dir: str) -> DataFrame:
