@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import saved
 
 CELL_VECTORS, CELL_QUERIES = 16_384, 2_048
+LEAST_VECTORS = 512  # of a cell, where there are fewer cells than cores
 EPSILON = 4.0  # widths of the error bound
 
 
@@ -112,6 +113,7 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, seed: int = 7,
     bound is good enough, and these are reranked on the original vectors. A cell gives at
     most k rows a query; the best k of these are the result.
     """
+    spark = vectors.sparkSession
     v = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).withColumn("row", F.monotonically_increasing_id())
     v = v.where(F.col("vec_id").isNotNull() & usable(v, "vector"))
     if dim is None:
@@ -120,9 +122,10 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, seed: int = 7,
     v = saved(v.where(F.size("vector") == dim), "vectors")
     queries = v.where(is_query)
     n_vectors, n_queries = v.count(), queries.count()
-    tall, wide = max(1, math.ceil(n_vectors / CELL_VECTORS)), max(1, math.ceil(n_queries / CELL_QUERIES))
+    spread = min(spark.sparkContext.defaultParallelism, n_vectors // LEAST_VECTORS)
+    tall, wide = max(1, spread, math.ceil(n_vectors / CELL_VECTORS)), max(1, math.ceil(n_queries / CELL_QUERIES))
     left = v.withColumn("c", F.pmod(F.xxhash64("row"), F.lit(tall))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
-    right = queries.withColumn("q", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(wide)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(tall - 1))).cast("bigint"))
+    right = queries.withColumn("q", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(wide)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tall - 1).cast("bigint"))))
     found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(_search(dim, seed, k), "query_row bigint, query_id bigint, vec_id bigint, row bigint, score double")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from . import minhash, pack, shard, suffix_dedup, toxicity, url_filter
+from . import ann, minhash, pack, shard, suffix_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc": warc.op1_warc,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op5_shard": shard.op5_shard,
         "op6_pack": pack.op6_pack,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_minhash": minhash.op8_minhash,
         "op9_url_filter": url_filter.op9_url_filter,
+        "op10_ann": ann.op10_ann,
     }
 
 
 def oracle_sql() -> dict:
     return {
         "op9_url_filter": url_filter.OP9_SQL,
+        "op10_ann": ann.OP10_SQL,
     }
