@@ -135,14 +135,29 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, chunk: int = 1 << 18):
+#: Bytes between words where punctuation doesn't count: ASCII other than letters and digits.
+BARE = np.ones(256, bool)
+BARE[128:] = BARE[48:58] = BARE[65:91] = BARE[97:123] = False
+
+
+def _latin_lower(piece: np.ndarray) -> np.ndarray:
+    """The bytes with U+00C0..U+00DE lower-cased."""
+    low = _LOWER[piece]
+    low[1:][(piece[:-1] == 0xC3) & (piece[1:] >= 0x80) & (piece[1:] <= 0x9E) & (piece[1:] != 0x97)] += 32
+    return low
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, chunk: int = 1 << 18, bare: bool = False):
     """Words ``[^\\x20\\x09-\\x0D]+`` of texts laid end to end, A-Z lower-cased.
 
+    bare: words are runs of letters, digits and bytes beyond ASCII instead, Latin-1
+    capitals are lower-cased too.
+
     Returns (64-bit hash of each word, offsets of each text's words, byte start and
     end of each word). Works through pieces of ``chunk`` bytes cut at white space, so
     that a very long text needs no more than a few arrays of its words.
     """
-    n = len(raw)
+    space, n = BARE if bare else _SPACE, len(raw)
     n_texts = len(offsets) - 1
     if n == 0:
         return np.zeros(0, U64), np.zeros(n_texts + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -151,12 +166,12 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, chunk: int = 1 << 18):
     at = 0
     while at < n:
         to = min(n, at + chunk)
-        while to < n and not _SPACE[raw[to - 1]]:
+        while to < n and not space[raw[to - 1]]:
             near = raw[to : to + 4096]
-            hit = np.flatnonzero(_SPACE[near])
+            hit = np.flatnonzero(space[near])
             to = to + int(hit[0]) + 1 if len(hit) else to + len(near)
         piece = raw[at:to]
-        word = ~_SPACE[piece]
+        word = ~space[piece]
         edge = np.zeros(len(piece) + 1, bool)
         edge[0] = edge[-1] = True
         lo, hi = np.searchsorted(bounds, [at, to])
@@ -172,7 +187,8 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, chunk: int = 1 << 18):
         if len(start):
             up, down = powers(len(piece) + 1)
             total = np.zeros(len(piece) + 1, U64)
-            np.cumsum((_LOWER[piece].astype(U64) + U64(1)) * up[:-1], out=total[1:])
+            low = _latin_lower(piece) if bare else _LOWER[piece]
+            np.cumsum((low.astype(U64) + U64(1)) * up[:-1], out=total[1:])
             hashes.append(mix((total[end] - total[start]) * down[start]))
             begins.append(start + at)
             ends.append(end + at)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, minhash, pack, shard, suffix_dedup, toxicity, url_filter, warc
+from . import ann, decontaminate, minhash, pack, shard, suffix_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1_warc,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_shard": shard.op5_shard,
         "op6_pack": pack.op6_pack,
         "op7_toxicity": toxicity.op7_toxicity,
