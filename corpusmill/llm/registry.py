@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, minhash, pack, shard, suffix_dedup, toxicity, url_filter, warc
+from . import ann, decontaminate, lm_score, minhash, pack, shard, suffix_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1_warc,
+        "op2_lm_score": lm_score.op2_lm_score,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_shard": shard.op5_shard,
@@ -21,6 +22,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return {
+        "op2_lm_score": lm_score.OP2_SQL,
         "op9_url_filter": url_filter.OP9_SQL,
         "op10_ann": ann.OP10_SQL,
     }
