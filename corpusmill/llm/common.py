@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import math
 import tempfile
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- scratch tables
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir; below the local temp folder where that is unset."""
@@ -27,13 +30,25 @@ def saved(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: a cut of the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.partitionBy(*folders).parquet(path)
+    with shuffles_removed(spark):
+        df.write.partitionBy(*folders).parquet(path)
     release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """The shuffle files of jobs in this block go as soon as each ends; what they wrote stands for them."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def drop(df: DataFrame) -> None:
     """Delete what ``saved`` wrote for df; only once nothing reads it any more."""
     path = getattr(df, "scratch_path", None)
@@ -44,9 +59,10 @@ def drop(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop the shuffle files of jobs that have ended."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the context cleaner drop the shuffle files and broadcasts of jobs that have ended; what the first pass frees may hold more."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
