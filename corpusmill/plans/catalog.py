@@ -1,11 +1,414 @@
-"""Queries of the library's own operators, each with its SQL twin where SQL can express it."""
+"""Queries of the library's own operators, each with its SQL twin where SQL can express it.
+
+Every query runs over whole tables and whole texts. Long texts are compared by their MD5.
+Where a table has nothing that an operator acts on, a derived view adds it to each row; both engines derive
+it by the same expression.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..operators import chunking, cleaning, dedup, embedding, extraction, filters, metadata, perplexity, pii
+from ..sources import files, sinks
+from . import pipeline
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+# ---------------------------------------------------------------- derived views, the same text in both engines
+
+HEADED = """'# ' || case doc_id % 6 when 0 then 'Introduction' when 1 then 'Methods' when 2 then 'References'
+  when 3 then 'Acknowledgements' when 4 then 'Abstract' else 'referencesX' end || chr(10) || text
+  || chr(10) || chr(10) || chr(10) || chr(10) || '*' || chr(10) || '## Results' || chr(10) || text"""
+MASKED = "text || repeat(' [PERSON]', cast(doc_id % 40 as int)) || case when doc_id % 7 = 0 then ' [EMAIL_ADDRESS]' else '' end"
+SCANNED = """case when doc_id % 2 = 0 then '+++ ==WARNING: Truncated because of repetitions==' || chr(10) || 'rep' || chr(10) || '+++' || chr(10) else '' end
+  || text || case when doc_id % 3 = 0 then '[MISSING_PAGE_POST]' else '' end || case when doc_id % 5 = 0 then ' a' || chr(92) || chr(92) || 'b' else '' end"""
+WRAPPED = """'<doc id="1"><title>' || source || '</title><body>' || replace(replace(replace(text,'&','&amp;'),'<','&lt;'),'>','&gt;') || '</body></doc>'"""
+NUMBERED = """text || chr(10) || case doc_id % 4 when 0 then 'doi: 10.1234/ab.' || cast(doc_id as varchar(20)) || ' end'
+  when 1 then 'arXiv:2401.' || cast(10000 + doc_id as varchar(20)) || 'v2 end' else '' end"""
+FORMULAS = """text || ' $x_' || cast(doc_id as varchar(20)) || '$ and $$y$$ ' || chr(92) || '[ z ' || chr(92) || '] ' || chr(92) || 'begin{equation} {a' || case when doc_id % 3 = 0 then '' else '}' end || ' ' || chr(92) || 'end{equation}'"""
+
+
+
+def sql_words(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, '{X.WS}'), lambda x: x <> '')"
+
+
+def sql_count(x: str) -> str:
+    return f"cast(len({sql_words(x)}) as bigint)"
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{X.WS}|{X.WS}$', '', 'g')"
+
+
+def sql_no_symbol_lines(x: str) -> str:
+    return f"array_to_string(list_filter(string_split({x}, chr(10)), lambda x: not regexp_matches(x, '{X.SYMBOL_LINE}')), chr(10))"
+
+
+def sql_squeezed(x: str) -> str:
+    return f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+
+
+def documents(spark: SparkSession, sf_dir: str, derived: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    if derived:
+        df = df.withColumn("text", F.expr(derived))
+    return df.withColumnRenamed("text", "content")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def digest(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("doc_id", *more, F.md5("content").alias("content_md5"))
+
+
+# ---------------------------------------------------------------- filters
+
+
+@query(f"select doc_id, {sql_count('text')} as word_count from documents where {sql_count('text')} > 40")
+def length_keep_greater(spark, sf_dir):
+    return filters.length_filter(documents(spark, sf_dir), 40).select("doc_id", "word_count")
+
+
+@query(f"select doc_id, {sql_count('text')} as word_count from documents where not {sql_count('text')} < 40")
+def length_discard_less(spark, sf_dir):
+    return filters.length_filter(documents(spark, sf_dir), 40, "less", "discard").select("doc_id", "word_count")
+
+
+@query(f"select doc_id, {sql_count('text')} as word_count from documents where {sql_count('text')} > 40 and {sql_count('text')} < 1024")
+def length_range(spark, sf_dir):
+    return filters.length_filter(filters.length_filter(documents(spark, sf_dir), 40), 1024, "less").select("doc_id", "word_count")
+
+
+@query("select doc_id, cast(length(text) - length(replace(text, chr(10), '')) as bigint) as newline_count from documents where length(text) - length(replace(text, chr(10), '')) < 60")
+def newline_filter_less(spark, sf_dir):
+    return filters.newline_filter(documents(spark, sf_dir), 60, "less").select("doc_id", "newline_count")
+
+
+SHARE = "((length(t) - length(replace(t, '[PERSON]', ''))) // 8 + (length(t) - length(replace(t, '[EMAIL_ADDRESS]', ''))) // 15)::double / greatest(n, 1)"
+
+
+@query(f"""with d as (select doc_id, {MASKED} as t from documents), w as (select *, {sql_count('t')} as n from d)
+select doc_id, {SHARE} as pii_tokens_percentage from w where {SHARE} < 0.03 or regexp_matches(t, '{X.OPENING_HEADER}')""")
+def pii_fraction_filter(spark, sf_dir):
+    return filters.pii_filter(documents(spark, sf_dir, MASKED), 0.03).select("doc_id", "pii_tokens_percentage")
+
+
+@query(f"""with d as (select doc_id, {HEADED} || repeat(' [PERSON]', cast(length(text) // 50 as int)) as t from documents), w as (select *, {sql_count('t')} as n from d)
+select doc_id, {SHARE} as pii_tokens_percentage from w where {SHARE} >= 0.05 or regexp_matches(t, '{X.OPENING_HEADER}')""")
+def pii_fraction_keep_opening(spark, sf_dir):
+    return filters.pii_filter(documents(spark, sf_dir, HEADED + " || repeat(' [PERSON]', cast(floor(length(text) / 50) as int))"), 0.05, "keep").select("doc_id", "pii_tokens_percentage")
+
+
+OPENS = f"(regexp_matches(t, '{X.REFERENCE_HEADER}') or regexp_matches(t, '{X.ACKNOWLEDGEMENT_HEADER}'))"
+
+
+@query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id from d where not {OPENS}")
+def reference_filter_discard(spark, sf_dir):
+    return filters.reference_filter(documents(spark, sf_dir, HEADED)).select("doc_id")
+
+
+@query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id from d where {OPENS}")
+def reference_filter_keep(spark, sf_dir):
+    return filters.reference_filter(documents(spark, sf_dir, HEADED), "keep").select("doc_id")
+
+
+FLAGSHIP = [
+    {"name": "length_filter", "config": {"length": 40}},
+    {"name": "length_filter", "config": {"length": 1024, "comparison": "less"}},
+    {"name": "reference_filter"},
+    {"name": "pii_filter", "config": {"threshold": 0.03}},
+    {"name": "newline_filter", "config": {"chunks": 60, "comparison": "less"}},
+]
+
+
+@query(f"""with k as (select *, row_number() over (partition by sha256(text) order by doc_id) as k from documents),
+d as (select doc_id, {MASKED} as t from k where k = 1), w as (select *, {sql_count('t')} as n, cast(length(t) - length(replace(t, chr(10), '')) as bigint) as newline_count from d)
+select doc_id, n as word_count, newline_count, {SHARE} as pii_tokens_percentage from w
+where n > 40 and n < 1024 and not {OPENS} and ({SHARE} < 0.03 or regexp_matches(t, '{X.OPENING_HEADER}')) and newline_count < 60""")
+def complete_filter_pipeline(spark, sf_dir):
+    kept = dedup.exact_dedup(documents(spark, sf_dir)).withColumnRenamed("content", "text")
+    out = pipeline.build(kept.withColumn("content", F.expr(MASKED)), FLAGSHIP)
+    return out.select("doc_id", "word_count", "newline_count", "pii_tokens_percentage")
+
+
+@query(f"""select count(*) as "before", count(*) filter ({sql_count('text')} > 40) as "after",
+(count(*) - count(*) filter ({sql_count('text')} > 40))::double / count(*) * 100 as removed_percent from documents""")
+def filter_stats(spark, sf_dir):
+    df = documents(spark, sf_dir)
+    return pipeline.filter_stats(df, filters.length_filter(df, 40))
+
+
+# ---------------------------------------------------------------- cleaning
+
+
+@query(rf"select doc_id, md5(regexp_replace(text, '{X.DIGIT_LETTER}', '\1 \2', 'g')) as content_md5 from documents")
+def ocr_digit_spacing(spark, sf_dir):
+    return digest(documents(spark, sf_dir).withColumn("content", X.space_digits(F.col("content"))))
+
+
+LINE_SQL = f"""l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
+x as (select doc_id, pos, line, len({sql_words('lower(line)')}) as n, list_distinct({sql_words('lower(line)')}) as st from l),
+y as (select *, first_value(case when n > 0 then st end ignore nulls) over (partition by doc_id order by pos rows between 1 following and unbounded following) as nx from x),
+z as (select *, n >= 2 and nx is not null and (len(list_intersect(st, nx)) / len(st) >= 0.99 or len(list_intersect(st, nx)) / len(nx) >= 0.99) as self from y),
+k as (select *, case when n > 0 then self else coalesce(last_value(case when n > 0 then self end ignore nulls) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), false) end as gone from z)"""
+
+
+@query(f"with {LINE_SQL} select doc_id, md5(string_agg(line, chr(10) order by pos)) as content_md5 from k where not gone group by doc_id")
+def line_dup_removal(spark, sf_dir):
+    return digest(documents(spark, sf_dir).withColumn("content", X.drop_repeated_lines(F.col("content"))))
+
+
+@query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id, md5({sql_no_symbol_lines('t')}) as content_md5 from d")
+def single_symbol_lines(spark, sf_dir):
+    return digest(documents(spark, sf_dir, HEADED).withColumn("content", X.drop_symbol_lines(F.col("content"))))
+
+
+@query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id, md5({sql_squeezed('t')}) as content_md5 from d")
+def newline_squeeze(spark, sf_dir):
+    return digest(documents(spark, sf_dir, HEADED).withColumn("content", X.squeeze_newlines(F.col("content"))))
+
+
+@query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id, md5({sql_strip(sql_squeezed(sql_no_symbol_lines('t')))}) as content_md5 from d")
+def rule_clean(spark, sf_dir):
+    return digest(documents(spark, sf_dir, HEADED).withColumn("content", X.rule_clean(F.col("content"))))
+
+
+@query(f"""with d as (select doc_id, {SCANNED} as t from documents)
+select doc_id, md5(replace(regexp_replace(regexp_replace(t, '{X.TRUNCATED}', '', 'g'), '{X.NO_OUTPUT}', '', 'g'), '[MISSING_PAGE_POST]', '')) as content_md5 from d""")
+def artifact_removal(spark, sf_dir):
+    return digest(documents(spark, sf_dir, SCANNED).withColumn("content", X.remove_artifacts(F.col("content"))))
+
+
+@query(f"""with d as (select doc_id, {SCANNED} || repeat(chr(92), cast(doc_id % 8 as int)) as t from documents)
+select doc_id, md5(list_reduce(list_prepend('', list_transform(regexp_extract_all(t, '[^\\\\]+|\\\\+'), lambda x: case when left(x, 1) = chr(92) and length(x) > 1 then left(x, length(x) // 2) else x end)), lambda x, y: x || y)) as content_md5 from d""")
+def halve_backslashes(spark, sf_dir):
+    return digest(documents(spark, sf_dir, SCANNED + " || repeat(chr(92), cast(doc_id % 8 as int))").withColumn("content", X.halve_backslashes(F.col("content"))))
+
+
+@query()
+def nougat_postprocess(spark, sf_dir):
+    return digest(documents(spark, sf_dir, HEADED).withColumn("content", cleaning.nougat_clean(F.col("content"))))
+
+
+@query()
+def clean_pipeline(spark, sf_dir):
+    return digest(cleaning.clean(documents(spark, sf_dir, HEADED)), "cleaning.duplicates_removed", "cleaning.duplicate_removal_percent")
+
+
+@query()
+def latex_formulas(spark, sf_dir):
+    found = documents(spark, sf_dir, FORMULAS).select("doc_id", F.explode(X.latex_formulas(F.col("content"))).alias("f"))
+    return found.select("doc_id", "f.kind", "f.formula")
+
+
+@query()
+def latex_problems(spark, sf_dir):
+    return cleaning.clean(documents(spark, sf_dir, FORMULAS), ["latex"]).select("doc_id", "cleaning.latex_errors_found")
+
+
+@query(f"select doc_id, md5(regexp_replace(text, '{X.EMAIL}', '[EMAIL_ADDRESS]', 'g')) as content_md5 from documents where length(regexp_replace(text, '{X.EMAIL}', '[EMAIL_ADDRESS]', 'g')) > 1")
+def pii_email_mask(spark, sf_dir):
+    return digest(pii.mask_pii(documents(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- dedup
+
+
+@query("select doc_id from (select doc_id, row_number() over (partition by sha256(text) order by doc_id) as k from documents) where k = 1")
+def exact_dedup_keep_first(spark, sf_dir):
+    return dedup.exact_dedup(documents(spark, sf_dir)).select("doc_id")
+
+
+@query('select sha256(text) as sha256, min(doc_id) as "first", count(*) as copies from documents group by 1 having count(*) > 1')
+def exact_dup_groups(spark, sf_dir):
+    return dedup.exact_groups(documents(spark, sf_dir))
+
+
+@query()
+def near_dup_dedup(spark, sf_dir):
+    return dedup.near_dedup(documents(spark, sf_dir)).select("doc_id")
+
+
+@query()
+def near_dup_groups(spark, sf_dir):
+    return dedup.near_groups(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
+@query(f"""with w as (select doc_id, {sql_words('lower(text)')} as w from documents)
+select doc_id, cast(case when len(w) < 3 then 0 else len(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) end as bigint) as n from w""")
+def shingles_count(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.size(X.shingles(F.col("content"), 3)).cast("bigint").alias("n"))
+
+
+# ---------------------------------------------------------------- HTML, XML, metadata
+
+RAW_TITLE = r"regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', '', 'g'), '&[a-zA-Z]+;', ' ', 'g'), '&#\d+;', ' ', 'g')"
+TITLE_SQL = f"regexp_replace(translate({sql_strip(RAW_TITLE)}, chr(10) || chr(13), '  '), ' {{2,}}', ' ', 'g')"
+
+
+@query(rf"with t as (select page_id, {TITLE_SQL} as t from pages) select page_id, case when length(t) >= 3 and not regexp_matches(t, '^\p{{Nd}}+$') then t end as title from t")
+def html_title(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", X.html_title(F.col("html")).alias("title"))
+
+
+def _meta_sql() -> str:
+    fields = ", ".join(f"""nullif({sql_strip("regexp_extract(html, '" + p.replace("'", "''") + "', 1)")}, '') as {k}""" for k, p in X.META.items())
+    count = X.JSON_LD.replace("'", "''")
+    return f"select page_id, {fields}, cast(len(regexp_extract_all(html, '{count}')) as bigint) as json_ld from pages"
+
+
+@query(_meta_sql())
+def html_meta(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", X.html_meta(F.col("html")).alias("m"), X.json_ld_count(F.col("html")).alias("json_ld")).select("page_id", "m.*", "json_ld")
+
+
+@query(r"select page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) as host, length(html)::int as content_length from pages")
+def url_parts(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.parse_url(F.col("url"), F.lit("HOST")).alias("host"), metadata.html_record(F.col("html"))["content_length"].alias("content_length"))
+
+
+@query()
+def html_main_text(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.md5(extraction.html_text(F.col("html"))).alias("content_md5"))
+
+
+@query(f"select doc_id, md5({sql_strip(sql_squeezed('source || text'))}) as content_md5 from documents")
+def xml_text(spark, sf_dir):
+    return digest(documents(spark, sf_dir, WRAPPED).withColumn("content", extraction.xml_text(F.col("content"))))
+
+
+PATH = "'/data/my_' || source || '-' || cast(doc_id as varchar(20)) || case when doc_id % 2 = 0 then '.md' else '.tar.HTML' end"
+
+
+@query(f"""with p as (select doc_id, {PATH} as p from documents)
+select doc_id, translate(regexp_replace(regexp_extract(p, '[^/]+$'), '\\.[^.]*$', ''), '_-', '  ') as title, lower(regexp_extract(p, '\\.([^./]+)$', 1)) as file_format from p""")
+def filename_title(spark, sf_dir):
+    rows = documents(spark, sf_dir).select("doc_id", F.expr(PATH).alias("p"))
+    return rows.select("doc_id", X.stem_title(F.col("p")).alias("title"), X.file_format(F.col("p")).alias("file_format"))
+
+
+def _identifier_sql() -> str:
+    cases = [(k, p) for k, ps in (("doi", X.DOI), ("arxiv", X.ARXIV)) for p in ps]
+    kind = " ".join(f"""when regexp_matches(t, '{p}') then '{k}'""" for k, p in cases)
+    found = " ".join(f"""when regexp_matches(t, '{p}') then regexp_extract(t, '{p}', 1)""" for _, p in cases)
+    return f"with d as (select doc_id, {NUMBERED} as t from documents) select doc_id, case {kind} else 'NA' end as id_type, case {found} end as identifier from d"
+
+
+@query(_identifier_sql())
+def identifiers(spark, sf_dir):
+    return documents(spark, sf_dir, NUMBERED).select("doc_id", X.identifier(F.col("content")).alias("i")).select("doc_id", "i.*")
+
+
+@query(f"""select cast(doc_id as varchar) || '.md' as filename, cast(doc_id as varchar) || '.md' as file_path, 'md' as file_format, cast(length(text) as bigint) as content_length, false as has_extracted_metadata,
+cast(doc_id as varchar) as title from documents""")
+def metadata_export(spark, sf_dir):
+    docs = files.from_table(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return metadata.metadata_rows(metadata.extract_metadata(docs))
+
+
+# ---------------------------------------------------------------- ids, points, resuming
+
+
+SHORT = "cast(doc_id as varchar) || '.md_' || left(md5(text), 8)"
+
+
+@query(f"select doc_id, {SHORT} as key, cast(('0x' || left(sha256({SHORT}), 16))::ubigint as varchar) as id from documents")
+def point_ids(spark, sf_dir):
+    docs = files.from_table(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    key = X.short_id(F.col("file_path"), F.col("content"))
+    return docs.select("doc_id", key.alias("key"), X.uint_id(key).cast("string").alias("id"))
+
+
+YEAR = "case doc_id % 4 when 0 then '2020' when 1 then '2021.0' when 2 then 'n/a' end"
+
+
+@query(f"""select doc_id, md5(text) as content, try_cast(try_cast({YEAR} as double) as int) as "year", source as title from documents""")
+def payload_projection(spark, sf_dir):
+    docs = files.from_table(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumns({"year": F.expr(YEAR), "title": F.col("source"), "number": F.col("doc_id")})
+    made = embedding.points(docs, filename="file_path", metadata=("year", "title", "number"))
+    p = F.from_json("payload", "content string, year int, title string, number bigint")
+    return made.select(p.alias("p")).select(F.col("p.number").alias("doc_id"), F.md5("p.content").alias("content"), "p.year", "p.title")
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels)")
+def upload_anti_join(spark, sf_dir):
+    ids = lambda df: df.withColumn("id", X.uint_id(F.col("doc_id").cast("string")))
+    return filters.not_in(ids(documents(spark, sf_dir)), ids(spark.read.parquet(f"{sf_dir}/labels.parquet")), "id").select("doc_id")
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels where quality = 1)")
+def resume_anti_join(spark, sf_dir):
+    docs = sinks.with_source_key(files.from_table(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    done = docs.join(spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return filters.not_in(docs, sinks.checkpoint_rows(done), "source_key").select("doc_id")
+
+
+@query("""select doc_id, md5(text) as content_md5, 'md' as file_format from documents where length(text) > 1""")
+def export_jsonl_rows(spark, sf_dir):
+    docs = filters.non_trivial(files.from_table(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    read = files.parsed_lines(docs.select("doc_id", "file_format", sinks.document_json(docs).alias("value")))
+    return read.where("bad is null").select("doc_id", F.md5("content").alias("content_md5"), "file_format")
+
+
+# ---------------------------------------------------------------- chunks, embeddings, perplexity
+
+
+@query()
+def chunk_documents(spark, sf_dir):
+    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED)), "chunk_index", "headers")
+
+
+@query()
+def chunk_overlap(spark, sf_dir):
+    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED), max_chunk_size=200, chunk_overlap=50, add_headers=True), "chunk_index")
+
+
+@query()
+def chunk_filter_pipeline(spark, sf_dir):
+    return digest(pipeline.build(documents(spark, sf_dir, HEADED), [{"name": "chunker"}, *FLAGSHIP]), "chunk_index", "word_count", "newline_count")
+
+
+@query()
+def embed_local(spark, sf_dir):
+    out = embedding.embed(documents(spark, sf_dir), embedding.hashing_embedder(64))
+    return out.select("doc_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x), 3).alias("squared_length"))
+
+
+@query("""select vec_id, round(list_sum(list_transform(embedding::double[], lambda x: x * x)) / list_sum(list_transform(embedding::double[], lambda x: x * x)), 6) as squared_length,
+round(embedding[1]::double / sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))), 6) as "first" from embeddings""")
+def embedding_l2_normalize(spark, sf_dir):
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", X.l2_normalized(F.col("embedding")).alias("v"))
+    return v.select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x), 6).alias("squared_length"), F.round(F.get("v", F.lit(0)), 6).alias("first"))
+
+
+@query(f"""with e as (select doc_id, unnest({sql_words('lower(text)')}) as w from documents), n as (select doc_id, w, count(*) as n from e group by all), c as (select w, sum(n) as c from n group by w),
+s as (select sum(c) as total, count(*) as v from c)
+select doc_id, round(exp(sum(-ln((c + 1) / (total + v)) * n) / sum(n)), 4) as perplexity from n join c using (w) cross join s group by doc_id""")
+def perplexity_ngram(spark, sf_dir):
+    return perplexity.unigram_perplexity(documents(spark, sf_dir)).where("perplexity is not null").select("doc_id", F.round("perplexity", 4).alias("perplexity"))
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
