@@ -28,6 +28,7 @@ from .common import U64, buffer_of, ids_of, mix, pack_sorted, parts_for, powers,
 
 LENGTH, GRAM = 50, 24
 PIECE = 1 << 17
+ROWS = 1 << 14  # suffixes that are cut from the text at once
 TOP = U64(16)  # anchor hashes have 48 bits
 
 
@@ -158,23 +159,24 @@ def _suffixes(t: pa.Table, hashes: list[bytes], shape: _Shape, n_buckets: int):
     ids = ids_of(t["doc_id"])[doc]
     n = len(pos)
     m = np.zeros((n, (shape.width + 7) // 8 * 8), np.uint8)
-    step = np.arange(shape.length)
-    right = step[None, :] < (shape.length - low)[:, None]
-    m[:, : shape.length][right] = raw[np.minimum(pos[:, None] + step[None, :], max(len(raw) - 1, 0))[right]] if n else 0
-    if shape.left and n:
-        step = np.arange(shape.left)
-        left = step[None, :] < high[:, None]
-        m[:, shape.length : shape.length + shape.left][left] = raw[np.maximum(pos[:, None] - 1 - step[None, :], 0)[left]]
+    right, left = np.arange(shape.length), np.arange(shape.left)
+    for at in range(0, n, ROWS):
+        part, p = m[at : at + ROWS], pos[at : at + ROWS, None]
+        own = right[None, :] < (shape.length - low[at : at + ROWS])[:, None]
+        part[:, : shape.length][own] = raw[(p + right[None, :])[own]]
+        own = left[None, :] < high[at : at + ROWS, None]
+        part[:, shape.length : shape.length + shape.left][own] = raw[(p - 1 - left[None, :])[own]]
     m[:, shape.width - 2], m[:, shape.width - 1] = low, high
     bucket = _buckets(h, n_buckets)
     words = m.view(">u8").astype(U64)
     order = np.lexsort((ids, *(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), bucket))
-    words, bucket, ids = words[order], bucket[order], ids[order]
-    new = np.concatenate(([True], (words[1:] != words[:-1]).any(1) | (bucket[1:] != bucket[:-1]))) if n else np.zeros(0, bool)
+    del words
+    m, bucket, ids = m[order], bucket[order], ids[order]
+    new = np.concatenate(([True], (m[1:] != m[:-1]).any(1) | (bucket[1:] != bucket[:-1]))) if n else np.zeros(0, bool)
     head = np.flatnonzero(new)
     row = np.empty(n, np.int64)
     row[order] = np.cumsum(new) - 1
-    return (pos, doc, low, high, row), (m[order][head, : shape.width], bucket[head], ids[head])
+    return (pos, doc, low, high, row), (m[head, : shape.width], bucket[head], ids[head])
 
 
 def front_code(m: np.ndarray) -> bytes:
@@ -311,6 +313,7 @@ def _merge(shape: _Shape):
         place = np.empty(len(came), np.int64)  # of each row, run by run, in the order of the merge
         place[:] = order
         m = np.concatenate([m for _, m in coded]) if coded else np.zeros((0, shape.width), np.uint8)
+        del coded
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in t["ids"].to_pylist()])
         merged = np.empty(len(place), np.int64)
         merged[place] = np.arange(len(place))
@@ -398,7 +401,7 @@ def _settle(shape: _Shape, n_buckets: int, digest: bool):
     return run
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, digest: bool = False, block_bytes: int = 16 << 20) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, digest: bool = False, block_bytes: int = 6 << 20) -> DataFrame:
     """Remove each byte of a text that a string of ``length`` bytes covers which also starts in a document with a smaller doc_id.
 
     docs: columns doc_id (integer) and text. Texts are UTF-8 bytes, null counts as empty;
