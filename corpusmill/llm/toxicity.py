@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,20 +14,25 @@ import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM = 5
-WINDOW = 128
-#: (bytes of a dictionary, how often one gram may recur in what it is trained on): two pairs of dictionaries.
-PAIRS = ((1024, 1 << 30), (2048, 30))
-BASE_BYTES = 1 << 15
+WINDOW = 64
+BASE_BYTES, TOXIC_BYTES = 1 << 15, 2048
+WORD = 4  # bytes of a word that may mark toxic text, at least
+MARKED_SHARE, MARKED_RATIO = 0.008, 30.0  # of toxic documents, and of their share to that of ordinary ones
+GAINS = 20  # gains from -GAINS to GAINS bytes are told apart
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2000, 4000, 24 << 20
+FOLDS = 3
+
+_BREAK = re.compile(rb"[^a-z0-9\x80-\xff]+")
 
 
 @dataclass
 class ToxicityModel:
-    """Dictionaries (toxic, ordinary) and a calibrated logistic over what windows gain; weights None: the score is ``prior``."""
+    """Two dictionaries, how much each gain speaks for toxic text (a log likelihood ratio), and a calibrated logistic; weights None: the score is ``prior``."""
 
-    pairs: list[tuple[bytes, bytes]]
     prior: float
+    toxic: bytes = b""
+    ordinary: bytes = b""
+    evidence: np.ndarray | None = None
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: np.ndarray | None = None
@@ -45,60 +52,54 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
-    params = zs.ZstdCompressionParameters(strategy=zs.STRATEGY_LAZY, min_match=4, window_log=17, hash_log=16, chain_log=17, search_log=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+    params = zs.ZstdCompressionParameters(strategy=zs.STRATEGY_BTOPT, min_match=3, window_log=17, hash_log=16, chain_log=17, search_log=3, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=params)
     return zs.ZstdCompressor(compression_params=params, dict_data=held)
 
 
-def _features(text: bytes, pairs: list) -> list[float]:
-    """Of the bytes that each window gains by the toxic dictionary over the ordinary one, and how many windows there are."""
-    parts, out = windows(text), []
-    for toxic, ordinary in pairs:
-        gain = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts] or [0], float)
-        out += [gain.max(), np.sort(gain)[-3:].mean(), gain.mean(), np.maximum(gain, 0).mean(), math.log1p((gain >= 4).sum()), (gain >= 4).mean()]
-    return [*out, math.log(max(1, len(parts)))]
+def _gains(text: bytes, pair: tuple) -> np.ndarray:
+    """Bytes by which the toxic dictionary compresses each window better than the ordinary one."""
+    toxic, ordinary = pair
+    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(text)], np.int64)
 
 
-def _grams(text: bytes) -> np.ndarray:
-    raw = np.frombuffer(text.lower(), np.uint8).astype(np.uint64)
-    if len(raw) < GRAM:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(raw) - GRAM + 1, np.uint64)
-    for i in range(GRAM):
-        out = (out << np.uint64(8)) | raw[i : len(raw) - GRAM + 1 + i]
-    return out
+def _features(gains: np.ndarray, evidence: np.ndarray) -> list[float]:
+    g = np.sort(gains if len(gains) else np.zeros(1, np.int64)).astype(float)
+    e = evidence[np.clip(g, -GAINS, GAINS).astype(int) + GAINS]
+    more = np.exp(e) - 1
+    over = np.maximum(g - 2, 0)
+    return [
+        np.log1p(0.02 * more).sum(), np.log1p(0.2 * more).sum(), e.max(), np.sort(e)[-3:].sum(), g[-1], g[-3:].mean(), g.mean(), np.maximum(g, 0).mean(),
+        over.mean(), math.log1p((g >= 3).sum()), math.log1p((g >= 5).sum()), (g >= 4).mean(), math.log1p(over.sum()), math.log(len(g)),
+    ]
 
 
-def _document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    all_grams = [np.unique(_grams(t)) for t in texts]
-    return np.unique(np.concatenate(all_grams or [np.zeros(0, np.uint64)]), return_counts=True)
+def _words(text: bytes) -> list[bytes]:
+    return [w for w in _BREAK.split(text.lower()) if w]
 
 
-def _passages(texts: list[bytes], marked: np.ndarray) -> list[bytes]:
-    """The passages of toxic texts whose grams mark toxic documents."""
-    out = []
+def distinct(texts: list[bytes]) -> list[bytes]:
+    """One text for each least hash of its runs of four words, so that copies don't count as documents of their own."""
+    found: dict[int, bytes] = {}
     for text in texts:
-        g = _grams(text)
-        at = np.flatnonzero(np.isin(g, marked))
-        if len(at):
-            cuts = np.flatnonzero(np.diff(at) > GRAM) + 1
-            low = text.lower()
-            out += [low[int(s[0]) : int(s[-1]) + GRAM] for s in np.split(at, cuts)]
-    return out
+        w = _words(text)
+        found.setdefault(min(zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3))), text)
+    return list(found.values())
 
 
-def _spread(passages: list[bytes], most: int) -> list[bytes]:
-    """Passages in a fixed mixed order, until each of their grams was there ``most`` times."""
-    seen: dict[int, int] = {}
-    out = []
-    for p in sorted(passages, key=zlib.crc32):
-        g = _grams(p).tolist()
-        if g and min(seen.get(x, 0) for x in g) < most:
-            for x in g:
-                seen[x] = seen.get(x, 0) + 1
-            out.append(p)
-    return out
+def _marks(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Words of many toxic documents and few ordinary ones, the most frequent last."""
+    n, m = Counter(), Counter()
+    for texts, count in ((toxic, n), (ordinary, m)):
+        for text in texts:
+            count.update(set(_words(text)))
+    least = max(3, round(MARKED_SHARE * len(toxic)))
+
+    def ratio(w):
+        return ((n[w] + 0.5) / len(toxic)) / ((m[w] + 0.5) / len(ordinary))
+
+    return sorted((w for w, k in n.items() if k >= least and len(w) >= WORD and ratio(w) >= MARKED_RATIO), key=lambda w: (n[w], w))
 
 
 def _dictionary(size: int, samples: list[bytes]) -> bytes:
@@ -108,6 +109,19 @@ def _dictionary(size: int, samples: list[bytes]) -> bytes:
         return b" ".join(samples)[:size]
 
 
+def _evidence(toxic: list[bytes], ordinary: list[bytes], marks: set[bytes], pair: tuple) -> np.ndarray:
+    """Log of how much more frequent each gain is among toxic texts' windows that hold a mark than among ordinary windows."""
+    counts = np.full((2, 2 * GAINS + 1), 0.5)
+    for k, texts in enumerate((ordinary, toxic)):
+        for text in texts:
+            held = np.array([k == 0 or not marks or any(w in marks for w in _words(part)) for part in windows(text)], bool)
+            np.add.at(counts[k], np.clip(_gains(text, pair), -GAINS, GAINS)[held] + GAINS, 1)
+    share = counts / counts.sum(1, keepdims=True)
+    out = np.clip(np.log(share[1] / share[0]), -3, 8)
+    out[GAINS:] = np.maximum.accumulate(out[GAINS:])  # a larger gain never says less
+    return out
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     x = np.c_[np.ones(len(x)), x]
     w = np.zeros(x.shape[1])
@@ -120,32 +134,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def train(toxic: list[bytes], ordinary: list[bytes], prior: float) -> ToxicityModel:
-    """Two thirds of each class train the dictionaries, the rest calibrates. ``prior``: the share of toxic rows among all labelled ones."""
-
-    def cut(texts, part):
-        return [t for i, t in enumerate(texts) if (i % 3 == 2) == part]
+def _fit_dictionaries(toxic: list[bytes], ordinary: list[bytes], prior: float) -> ToxicityModel:
+    """Dictionaries and evidence; both dictionaries end in bytes of one length behind a base trained on ordinary text.
 
-    t, o = cut(toxic, False), cut(ordinary, False)
-    y = np.array([1.0] * len(cut(toxic, True)) + [0.0] * len(cut(ordinary, True)))
-    if not t or not o or not 0 < y.sum() < len(y):
-        return ToxicityModel([], prior)
-    (g, n), (h, m) = _document_counts(t), _document_counts(o)
-    at = np.searchsorted(h, g).clip(0, max(len(h) - 1, 0))
-    other = np.where(h[at] == g, m[at], 0) if len(h) else np.zeros(len(g))
-    ratio = ((n + 0.5) / len(t)) / ((other + 0.5) / len(o))
-    marked = g[(n >= max(3, round(0.012 * len(t)))) & (ratio >= 15)]
-    passages = _passages(t, marked) or [w for x in t for w in windows(x)]
-    plain = sorted((w for x in o for w in windows(x)), key=zlib.crc32)
+    The toxic one ends in the words that mark toxic documents, the ordinary one in noise. So ordinary
+    text compresses alike with both, and what a window gains is due to these words.
+    """
+    toxic, ordinary = distinct(toxic), distinct(ordinary)
+    marks = _marks(toxic, ordinary)
+    own = b" " + (b" ".join(marks)[-TOXIC_BYTES:] if marks else _dictionary(TOXIC_BYTES, [w for x in toxic for w in windows(x)])) + b" "
+    plain = sorted((w for x in ordinary for w in windows(x)), key=zlib.crc32)
     base = _dictionary(BASE_BYTES, plain[-20000:])
-    contents = [(base + _dictionary(size, _spread(passages, most)), base + _dictionary(size, plain[:20000])) for size, most in PAIRS]
-    model = ToxicityModel(contents, prior)
-    pairs = [(_compressor(a), _compressor(b)) for a, b in contents]
-    x = np.array([_features(b, pairs) for b in cut(toxic, True) + cut(ordinary, True)])
+    noise = np.random.default_rng(3).integers(0, 256, len(own), dtype=np.uint8).tobytes()
+    model = ToxicityModel(prior, base + own, base + noise)
+    model.evidence = _evidence(toxic, ordinary, set(marks), (_compressor(model.toxic), _compressor(model.ordinary)))
+    return model
+
+
+def train(toxic: list[bytes], ordinary: list[bytes], prior: float, folds: int = FOLDS) -> ToxicityModel:
+    """Calibrated on each fold by dictionaries of the others, so on texts that these haven't seen; the dictionaries that stay have seen all.
+
+    ``prior``: the share of toxic rows among all labelled ones.
+    """
+    if min(len(toxic), len(ordinary)) < folds:
+        return ToxicityModel(prior)
+    x, y = [], []
+    for fold in range(folds):
+        part = _fit_dictionaries(*([t for i, t in enumerate(c) if i % folds != fold] for c in (toxic, ordinary)), prior)
+        pair = _compressor(part.toxic), _compressor(part.ordinary)
+        for label, texts in ((1.0, toxic), (0.0, ordinary)):
+            own = texts[fold::folds]
+            x += [_features(_gains(t, pair), part.evidence) for t in own]
+            y += [label] * len(own)
+    model = _fit_dictionaries(toxic, ordinary, prior)
+    x, y = np.array(x), np.array(y)
     model.centre, model.scale = x.mean(0), x.std(0) + 1e-9
     model.weights = _logistic((x - model.centre) / model.scale, y)
-    share = y.mean()
-    prior = min(max(prior, 1e-4), 1 - 1e-4)
+    share, prior = y.mean(), min(max(prior, 1e-4), 1 - 1e-4)
     model.weights[0] += math.log(prior / (1 - prior)) - math.log(share / (1 - share))  # the sample has another share of toxic rows
     return model
 
@@ -165,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out("doc_id"))
     counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     if not counts:
-        return ToxicityModel([], 0.5)
+        return ToxicityModel(0.5)
     prior = counts.get(1, 0) / sum(counts.values())
     texts: dict[int, list[bytes]] = {}
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).where("text is not null")
@@ -189,17 +214,17 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> Data
     Every window of every text is compressed with each dictionary; nothing but the text counts.
     A null or empty text has no windows and gets the score that fits no gain at all.
     """
-    pairs, centre, scale, weights, prior = model.pairs, model.centre, model.scale, model.weights, model.prior
+    centre, scale, weights, prior = model.centre, model.scale, model.weights, model.prior
 
     def run(batches):
-        held = [(_compressor(a), _compressor(b)) for a, b in pairs]
+        pair = (_compressor(model.toxic), _compressor(model.ordinary)) if weights is not None else None
         for batch in batches:
             out = []
             for text in batch.column(0):
                 if weights is None:
                     out.append(prior)
                     continue
-                x = (np.array(_features(text.as_py() or b"", held)) - centre) / scale
+                x = (np.array(_features(_gains(text.as_py() or b"", pair), model.evidence)) - centre) / scale
                 z = float(weights[0] + x @ weights[1:])
                 out.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.float64())], names=["row", "score"])
