@@ -27,12 +27,12 @@ def _rest(url: Column) -> Column:
 
 
 def canonical(url: Column) -> Column:
-    """The form in which URLs are listed: host without ``www.``, path without its last ``/``, query without utm_ and ref arguments; no scheme, no fragment."""
+    """The form in which URLs are listed: host without ``www.``, path without its last ``/``, query without utm_ and ref arguments; no scheme, no fragment; null without a host."""
     host = F.regexp_replace(host_of(url), r"^www\.", "")
     path = F.regexp_replace(path_of(url), "/$", "")
     query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
     query = F.array_join(F.filter(F.split(query, "&"), lambda q: ~q.rlike("^(utm_[^=]*|ref)(=|$)") & (q != "")), "&")
-    return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(host != "", F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
 def bloom_filter(listed: DataFrame, url: str, blocks: int) -> DataFrame:
@@ -46,11 +46,11 @@ def bloom_filter(listed: DataFrame, url: str, blocks: int) -> DataFrame:
 def listed_urls(pages: DataFrame, listed: DataFrame, url: str = "url", bits_per_url: int = 16) -> DataFrame:
     """pages plus ``canonical_url`` and ``is_listed``: whether its canonical URL is on the list.
 
-    listed: one column ``url``, of any size; nulls are dropped and repeats count once. A blocked
+    listed: one column ``url``, of any size; those without a host are dropped and repeats count once. A blocked
     Bloom filter of about ``bits_per_url`` bits a URL passes possible hits; only these rows meet
     the list, in an exact hash join that removes false positives. Rows that the filter stops
     go past the join. The filter is broadcast up to FILTER_BLOCKS blocks of 64 bytes; beyond that
-    its blocks are joined by a shuffle. A null url is on no list.
+    its blocks are joined by a shuffle. A url without a host is on no list.
     """
     keys = listed.select(canonical(F.col("url")).alias("listed_url")).where("listed_url is not null").distinct()
     n = keys.count()
