@@ -63,10 +63,10 @@ def _search(dim: int, seed: int, k: int):
         out = {"query_row": [], "query_id": [], "vec_id": [], "row": [], "score": []}
         if left.num_rows and right.num_rows:
             turn = rotation(dim, seed)
-            vectors, queries = _matrix(left["vector"], dim), _matrix(right["vector"], dim)
+            vectors, queries = _matrix(left["vector"], dim), _matrix(right["asked"], dim)
             rows, ids = left["row"].to_numpy(), left["vec_id"].to_numpy()
             codes, norm, own = encode(vectors, turn)
-            asked_rows, asked_ids = right["row"].to_numpy(), right["vec_id"].to_numpy()
+            asked_rows, asked_ids = right["asked_row"].to_numpy(), right["asked_id"].to_numpy()
             for at in range(0, len(queries), 128):
                 part = queries[at : at + 128]
                 guess, width = estimate(codes, norm, own, part, turn)
@@ -125,7 +125,8 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, seed: int = 7,
     spread = min(spark.sparkContext.defaultParallelism, n_vectors // LEAST_VECTORS)
     tall, wide = max(1, spread, math.ceil(n_vectors / CELL_VECTORS)), max(1, math.ceil(n_queries / CELL_QUERIES))
     left = v.withColumn("c", F.pmod(F.xxhash64("row"), F.lit(tall))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(wide - 1))))
-    right = queries.withColumn("q", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(wide)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tall - 1).cast("bigint"))))
+    right = queries.select(F.col("vec_id").alias("asked_id"), F.col("vector").alias("asked"), F.col("row").alias("asked_row"))
+    right = right.withColumn("q", F.pmod(F.xxhash64("asked_row", F.lit(1)), F.lit(wide)).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tall - 1).cast("bigint"))))
     found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(_search(dim, seed, k), "query_row bigint, query_id bigint, vec_id bigint, row bigint, score double")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
