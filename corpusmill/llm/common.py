@@ -116,6 +116,16 @@ def ids_of(array) -> np.ndarray:
     return array.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def trim() -> None:
+    """Give memory that is free in this worker back to the machine, which the C library doesn't do by itself."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trimmer = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trimmer:
+        trimmer(0)
+
+
 # ---------------------------------------------------------------- hashing
 
 U64 = np.uint64

@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, buffer_of, ids_of, mix, pack_sorted, parts_for, powers, saved, text_bytes, unpack_sorted
+from .common import U64, buffer_of, ids_of, mix, pack_sorted, parts_for, powers, saved, text_bytes, trim, unpack_sorted
 
 LENGTH, GRAM = 50, 24
 PIECE = 1 << 17
-ROWS = 1 << 14  # suffixes that are cut from the text at once
+ROWS = 1 << 14  # suffixes that are made and sorted at once, or one bucket's
 TOP = U64(16)  # anchor hashes have 48 bits
 
 
@@ -116,6 +116,7 @@ def _sketch(shape: _Shape, n_buckets: int):
         bucket = _buckets(h, n_buckets)
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         full = [b for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
+        trim()
         return pa.table(
             {
                 "bucket": pa.array(full, pa.int64()),
@@ -149,34 +150,50 @@ def _within(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == x
 
 
-def _suffixes(t: pa.Table, hashes: list[bytes], shape: _Shape, n_buckets: int):
-    """The block's shared anchors with their row of a sorted matrix of distinct suffixes, by bucket."""
+def _matrix(raw: np.ndarray, pos: np.ndarray, low: np.ndarray, high: np.ndarray, shape: _Shape) -> np.ndarray:
+    """A row for each anchor: the bytes from it on, those before it from right to left, and which windows it stands for."""
+    m = np.zeros((len(pos), (shape.width + 7) // 8 * 8), np.uint8)
+    right, left = np.arange(shape.length), np.arange(shape.left)
+    own = right[None, :] < (shape.length - low)[:, None]
+    m[:, : shape.length][own] = raw[(pos[:, None] + right[None, :])[own]]
+    own = left[None, :] < high[:, None]
+    m[:, shape.length : shape.length + shape.left][own] = raw[(pos[:, None] - 1 - left[None, :])[own]]
+    m[:, shape.width - 2], m[:, shape.width - 1] = low, high
+    return m
+
+
+def _suffixes(t: pa.Table, hashes: list[bytes], shape: _Shape, n_buckets: int, take=None):
+    """The block's shared anchors with their row among its distinct suffixes, which are in the order of (bucket, suffix).
+
+    The suffixes are made and sorted a few buckets at a time; take(rows, bucket, least doc_id) gets each part.
+    """
     raw, offsets = buffer_of(t["bytes"])
     pos, h, doc, low, high = anchors(raw, offsets, shape)
     shared = np.sort(np.concatenate([unpack_sorted(x) for x in hashes])) if hashes else np.zeros(0, U64)
     keep = _within(h, shared)
-    pos, h, doc, low, high = pos[keep], h[keep], doc[keep], low[keep], high[keep]
+    pos, doc, low, high, bucket = pos[keep], doc[keep], low[keep], high[keep], _buckets(h[keep], n_buckets)
+    del h, shared, keep
     ids = ids_of(t["doc_id"])[doc]
-    n = len(pos)
-    m = np.zeros((n, (shape.width + 7) // 8 * 8), np.uint8)
-    right, left = np.arange(shape.length), np.arange(shape.left)
-    for at in range(0, n, ROWS):
-        part, p = m[at : at + ROWS], pos[at : at + ROWS, None]
-        own = right[None, :] < (shape.length - low[at : at + ROWS])[:, None]
-        part[:, : shape.length][own] = raw[(p + right[None, :])[own]]
-        own = left[None, :] < high[at : at + ROWS, None]
-        part[:, shape.length : shape.length + shape.left][own] = raw[(p - 1 - left[None, :])[own]]
-    m[:, shape.width - 2], m[:, shape.width - 1] = low, high
-    bucket = _buckets(h, n_buckets)
-    words = m.view(">u8").astype(U64)
-    order = np.lexsort((ids, *(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), bucket))
-    del words
-    m, bucket, ids = m[order], bucket[order], ids[order]
-    new = np.concatenate(([True], (m[1:] != m[:-1]).any(1) | (bucket[1:] != bucket[:-1]))) if n else np.zeros(0, bool)
-    head = np.flatnonzero(new)
+    n, made = len(pos), 0
     row = np.empty(n, np.int64)
-    row[order] = np.cumsum(new) - 1
-    return (pos, doc, low, high, row), (m[head, : shape.width], bucket[head], ids[head])
+    by_bucket = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.r_[np.diff(bucket[by_bucket]) != 0, np.ones(min(n, 1), bool)]) + 1
+    at = 0
+    while at < n:
+        to = int(ends[min(np.searchsorted(ends, at + ROWS), len(ends) - 1)])
+        part = by_bucket[at:to]
+        m = _matrix(raw, pos[part], low[part], high[part], shape)
+        words = m.view(">u8").astype(U64)
+        order = np.lexsort((ids[part], *(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), bucket[part]))
+        m, part = m[order], part[order]
+        new = np.concatenate(([True], (m[1:] != m[:-1]).any(1) | (bucket[part][1:] != bucket[part][:-1])))
+        row[part] = np.cumsum(new) - 1 + made
+        made += int(new.sum())
+        if take:
+            head = part[new]
+            take(m[new][:, : shape.width], bucket[head], ids[head])
+        at = to
+    return pos, doc, low, high, row
 
 
 def front_code(m: np.ndarray) -> bytes:
@@ -281,17 +298,19 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]], width: int) -> tuple[l
 
 def _runs(shape: _Shape, n_buckets: int):
     def run(key: tuple, docs: pa.Table, side: pa.Table) -> pa.Table:
-        _, (m, bucket, ids) = _suffixes(docs, side["hashes"].to_pylist(), shape, n_buckets) if docs.num_rows else (None, (np.zeros((0, shape.width), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        full = [b for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
-        return pa.table(
-            {
-                "bucket": pa.array(full, pa.int64()),
-                "block": pa.array([key[0].as_py()] * len(full), pa.int64()),
-                "run": pa.array([front_code(m[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
-                "ids": pa.array([ids[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()),
-            }
-        )
+        out: dict[str, list] = {"bucket": [], "run": [], "ids": []}
+
+        def take(m, bucket, ids):
+            for b in np.unique(bucket).tolist():
+                lo, hi = np.searchsorted(bucket, [b, b + 1])
+                out["bucket"].append(b)
+                out["run"].append(front_code(m[lo:hi]))
+                out["ids"].append(ids[lo:hi].tobytes())
+
+        if docs.num_rows:
+            _suffixes(docs, side["hashes"].to_pylist(), shape, n_buckets, take)
+        trim()
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "block": pa.array([key[0].as_py()] * len(out["bucket"]), pa.int64()), "run": pa.array(out["run"], pa.binary()), "ids": pa.array(out["ids"], pa.binary())})
 
     return run
 
@@ -323,6 +342,8 @@ def _merge(shape: _Shape):
         of[merged] = np.cumsum(lcp < shape.width) - 1
         mask, first = mask[of], first[of]
         blocks = t["block"].to_pylist()
+        del m, ids, merged
+        trim()
         return pa.table(
             {
                 "block": pa.array(blocks, pa.int64()),
@@ -368,7 +389,7 @@ def repeated(raw_len: int, marks: np.ndarray, length: int) -> np.ndarray:
 def _settle(shape: _Shape, n_buckets: int, digest: bool):
     def run(key: tuple, docs: pa.Table, side: pa.Table) -> pa.Table:
         hashes = [x for x in side["hashes"].to_pylist() if x is not None]
-        (pos, doc, low, high, row), _ = _suffixes(docs, hashes, shape, n_buckets)
+        pos, doc, low, high, row = _suffixes(docs, hashes, shape, n_buckets)
         back = side.filter(pc.is_valid(side["mask"])).sort_by("bucket") if side.num_rows else side
         mask = np.concatenate([np.frombuffer(x, np.int64) for x in back["mask"].to_pylist()] or [np.zeros(0, np.int64)])
         first = np.concatenate([np.frombuffer(x, np.int64) for x in back["first"].to_pylist()] or [np.zeros(0, np.int64)])
@@ -396,6 +417,8 @@ def _settle(shape: _Shape, n_buckets: int, digest: bool):
         else:
             out["kept"] = pa.array(texts, pa.string())
             out["row"] = docs["row"]
+        del raw, gone, marks, pos, doc, row
+        trim()
         return pa.table(out)
 
     return run
