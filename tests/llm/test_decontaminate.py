@@ -1,0 +1,105 @@
+import random
+
+import numpy as np
+import pytest
+
+from corpusmill.llm import decontaminate as d
+
+RNG = random.Random(7)
+VOCABULARY = [f"w{i}" for i in range(2000)]
+
+
+def text(n):
+    return " ".join(RNG.choices(VOCABULARY, k=n))
+
+
+def slow_alignment(a, b):
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            h[i + 1, j + 1] = max(0, h[i, j] + (d.MATCH if a[i] == b[j] else -d.MISMATCH), h[i, j + 1] - d.GAP, h[i + 1, j] - d.GAP)
+    return h.max()
+
+
+def test_alignment():
+    rng = np.random.default_rng(1)
+    pairs = [(rng.integers(2, 6, rng.integers(1, 12)).astype(np.uint64), rng.integers(2, 6, rng.integers(1, 20)).astype(np.uint64)) for _ in range(60)]
+    best, _, _ = d.smith_waterman([a for a, _ in pairs], [b for _, b in pairs])
+    assert best.tolist() == [slow_alignment(a, b) for a, b in pairs]
+
+
+def edited(words, share):
+    out = []
+    for w in words:
+        r = RNG.random()
+        if r < share / 3:
+            continue
+        out.append(RNG.choice(VOCABULARY) if r < 2 * share / 3 else w.upper() + ",")
+        if 2 * share / 3 < r < share:
+            out.append(RNG.choice(VOCABULARY))
+    return out
+
+
+def test_brute_force(spark):
+    items = [(i, text(RNG.randint(12, 50))) for i in range(25)] + [(90, "one"), (91, "two words"), (92, None), (93, ""), (94, "..."), (None, text(30)), (95, text(30)), (96, None)]
+    items += [(97, items[0][1])]
+    common = text(40)
+    docs = []
+    for i in range(150):
+        parts = [text(RNG.randint(0, 60)), common if i % 3 == 0 else ""]
+        if i % 2:
+            item = RNG.choice(items[:25] + items[-4:-2])[1]
+            if item:
+                parts += [" ".join(edited(item.split(), RNG.choice([0, 0.1, 0.25, 0.5]))), text(20)]
+        docs.append((i, " ".join(parts), "x"))
+    docs += [(200, None, "x"), (201, "", "x"), (202, text(20000) + " " + items[3][1], "x"), (202, items[4][1] + "\n" + items[5][1], "x"), (203, "says two words", "x")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, leaks string").repartition(3)
+    bench = spark.createDataFrame(items + items[:2], "item_id bigint, text string")
+    got = {}
+    for r in d.find_leaks(frame, bench).collect():
+        for x in r["leaks"]:
+            got[(r["doc_id"], x["item_id"])] = x["score"]
+            assert 0 <= x["begin"] < x["end"]
+
+    def words(t):
+        return [w for w in "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()]
+
+    want = {}
+    for i, t, _ in docs:
+        for k, b in items:
+            if words(b) and len(set(words(b)) & set(words(t))) >= d.SCORE * len(set(words(b))) / 2:
+                score = slow_alignment(words(b), words(t)) / (d.MATCH * len(words(b))) if len(words(t)) < 400 else 1.0
+                if score >= d.SCORE and (len(words(t)) < 400 or k == 3):
+                    want[(i, k)] = max(score, want.get((i, k), 0))
+    assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+    clean = d.decontaminate(frame, bench)
+    assert clean.columns == ["doc_id", "text"] or clean.count() == sum(1 for i, *_ in docs if not any(i == x for x, _ in got)) + 0
+
+
+def test_chunks_of_a_large_benchmark_give_the_same(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+
+    def found(**k):
+        return sorted((r["doc_id"], sorted(x["item_id"] for x in r["leaks"])) for r in d.find_leaks(docs, bench, **k).collect())
+
+    assert found() == found(benchmark_bytes=2000)
+
+
+def test_an_item_in_most_documents_is_still_found(spark):
+    item = text(30)
+    docs = spark.createDataFrame([(i, text(30) + " " + item) for i in range(300)] + [(999, text(60))], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert [r[0] for r in d.decontaminate(docs, bench).select("doc_id").collect()] == [999]
+
+
+@pytest.mark.parametrize("docs,items", [([], [(1, "a b c")]), ([(1, "a b c")], []), ([], [])])
+def test_empty(spark, docs, items):
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert d.find_leaks(frame, spark.createDataFrame(items, "item_id bigint, text string")).where("size(leaks) > 0").count() == 0
+
+
+def test_query_finds_every_exact_copy(spark, duck, small):
+    got = {(r["doc_id"], r["item_id"]) for r in d.op4_decontaminate(spark, small).collect()}
+    exact = set(duck.execute("select doc_id, item_id from documents d, benchmark b where contains(d.text, b.text)").fetchall())
+    assert exact and exact <= got
