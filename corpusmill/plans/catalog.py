@@ -55,8 +55,10 @@ def sql_squeezed(x: str) -> str:
     return f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
 
 
-def documents(spark: SparkSession, sf_dir: str, derived: str | None = None) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, derived: str | None = None, spread: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    if spread:
+        df = files.spread(df)
     if derived:
         df = df.withColumn("text", F.expr(derived))
     return df.withColumnRenamed("text", "content")
@@ -170,7 +172,7 @@ k as (select *, case when n > 0 then self else coalesce(last_value(case when n >
 
 @query(f"with {LINE_SQL} select doc_id, md5(string_agg(line, chr(10) order by pos)) as content_md5 from k where not gone group by doc_id")
 def line_dup_removal(spark, sf_dir):
-    return digest(documents(spark, sf_dir).withColumn("content", X.drop_repeated_lines(F.col("content"))))
+    return digest(documents(spark, sf_dir, spread=True).withColumn("content", X.drop_repeated_lines(F.col("content"))))
 
 
 @query(f"with d as (select doc_id, {HEADED} as t from documents) select doc_id, md5({sql_no_symbol_lines('t')}) as content_md5 from d")
@@ -202,12 +204,12 @@ def halve_backslashes(spark, sf_dir):
 
 @query()
 def nougat_postprocess(spark, sf_dir):
-    return digest(documents(spark, sf_dir, HEADED).withColumn("content", cleaning.nougat_clean(F.col("content"))))
+    return digest(documents(spark, sf_dir, HEADED, spread=True).withColumn("content", cleaning.nougat_clean(F.col("content"))))
 
 
 @query()
 def clean_pipeline(spark, sf_dir):
-    return digest(cleaning.clean(documents(spark, sf_dir, HEADED)), "cleaning.duplicates_removed", "cleaning.duplicate_removal_percent")
+    return digest(cleaning.clean(documents(spark, sf_dir, HEADED, spread=True)), "cleaning.duplicates_removed", "cleaning.duplicate_removal_percent")
 
 
 @query()
@@ -241,18 +243,18 @@ def exact_dup_groups(spark, sf_dir):
 
 @query()
 def near_dup_dedup(spark, sf_dir):
-    return dedup.near_dedup(documents(spark, sf_dir)).select("doc_id")
+    return dedup.near_dedup(documents(spark, sf_dir, spread=True)).select("doc_id")
 
 
 @query()
 def near_dup_groups(spark, sf_dir):
-    return dedup.near_groups(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+    return dedup.near_groups(documents(spark, sf_dir, spread=True)).withColumnRenamed("key", "doc_id")
 
 
 @query(f"""with w as (select doc_id, {sql_words('lower(text)')} as w from documents)
 select doc_id, cast(case when len(w) < 3 then 0 else len(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) end as bigint) as n from w""")
 def shingles_count(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.size(X.shingles(F.col("content"), 3)).cast("bigint").alias("n"))
+    return documents(spark, sf_dir, spread=True).select("doc_id", F.size(X.shingles(F.col("content"), 3)).cast("bigint").alias("n"))
 
 
 # ---------------------------------------------------------------- HTML, XML, metadata
@@ -373,22 +375,22 @@ def export_jsonl_rows(spark, sf_dir):
 
 @query()
 def chunk_documents(spark, sf_dir):
-    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED)), "chunk_index", "headers")
+    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED, spread=True)), "chunk_index", "headers")
 
 
 @query()
 def chunk_overlap(spark, sf_dir):
-    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED), max_chunk_size=200, chunk_overlap=50, add_headers=True), "chunk_index")
+    return digest(chunking.chunk_documents(documents(spark, sf_dir, HEADED, spread=True), max_chunk_size=200, chunk_overlap=50, add_headers=True), "chunk_index")
 
 
 @query()
 def chunk_filter_pipeline(spark, sf_dir):
-    return digest(pipeline.build(documents(spark, sf_dir, HEADED), [{"name": "chunker"}, *FLAGSHIP]), "chunk_index", "word_count", "newline_count")
+    return digest(pipeline.build(documents(spark, sf_dir, HEADED, spread=True), [{"name": "chunker"}, *FLAGSHIP]), "chunk_index", "word_count", "newline_count")
 
 
 @query()
 def embed_local(spark, sf_dir):
-    out = embedding.embed(documents(spark, sf_dir), embedding.hashing_embedder(64))
+    out = embedding.embed(documents(spark, sf_dir, spread=True), embedding.hashing_embedder(64))
     return out.select("doc_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x), 3).alias("squared_length"))
 
 

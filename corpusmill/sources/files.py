@@ -63,6 +63,12 @@ def read_jsonl(spark: SparkSession, paths: str | list[str], strict: bool = False
     return good.select(X.short_id(F.col("file_path"), F.col("value")).alias("doc_id"), "file_path", F.lit("md").alias("file_format"), "content", "metadata", "embedding", "pipeline_metadata"), bad
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer parts than that, as one large row group does; for work in Python that outweighs the shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def from_table(df: DataFrame, content: str = "text", key: str = "doc_id") -> DataFrame:
     """A table of texts as documents of format md; its other columns stay."""
     return df.withColumnsRenamed({content: "content", key: "doc_id"}).withColumns({"file_path": F.concat(F.col("doc_id").cast("string"), F.lit(".md")), "file_format": F.lit("md")})
