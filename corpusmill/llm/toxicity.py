@@ -21,6 +21,7 @@ MARKED_SHARE, MARKED_RATIO = 0.008, 30.0  # of toxic documents, and of their sha
 GAINS = 20  # gains from -GAINS to GAINS bytes are told apart
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2000, 4000, 24 << 20
 FOLDS = 3
+EVIDENCE_STEP = 4  # of the ordinary texts of the sample every fourth tells how frequent a gain is there
 
 _BREAK = re.compile(rb"[^a-z0-9\x80-\xff]+")
 
@@ -58,10 +59,10 @@ def _compressor(content: bytes) -> zs.ZstdCompressor:
     return zs.ZstdCompressor(compression_params=params, dict_data=held)
 
 
-def _gains(text: bytes, pair: tuple) -> np.ndarray:
+def _gains(parts: list[bytes], pair: tuple) -> np.ndarray:
     """Bytes by which the toxic dictionary compresses each window better than the ordinary one."""
     toxic, ordinary = pair
-    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(text)], np.int64)
+    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts], np.int64)
 
 
 def _features(gains: np.ndarray, evidence: np.ndarray) -> list[float]:
@@ -79,12 +80,17 @@ def _words(text: bytes) -> list[bytes]:
     return [w for w in _BREAK.split(text.lower()) if w]
 
 
-def distinct(texts: list[bytes]) -> list[bytes]:
-    """One text for each least hash of its runs of four words, so that copies don't count as documents of their own."""
+def sketch(text: bytes) -> int:
+    """The least hash of the text's runs of four words, which most copies share."""
+    w = _words(text)
+    return min(zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3)))
+
+
+def distinct(texts: list[bytes], sketches: list[int]) -> list[bytes]:
+    """The first text of each sketch, so that copies don't count as documents of their own."""
     found: dict[int, bytes] = {}
-    for text in texts:
-        w = _words(text)
-        found.setdefault(min(zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3))), text)
+    for text, key in zip(texts, sketches):
+        found.setdefault(key, text)
     return list(found.values())
 
 
@@ -112,10 +118,10 @@ def _dictionary(size: int, samples: list[bytes]) -> bytes:
 def _evidence(toxic: list[bytes], ordinary: list[bytes], marks: set[bytes], pair: tuple) -> np.ndarray:
     """Log of how much more frequent each gain is among toxic texts' windows that hold a mark than among ordinary windows."""
     counts = np.full((2, 2 * GAINS + 1), 0.5)
-    for k, texts in enumerate((ordinary, toxic)):
+    for k, texts in enumerate((ordinary[::EVIDENCE_STEP], toxic)):
         for text in texts:
-            held = np.array([k == 0 or not marks or any(w in marks for w in _words(part)) for part in windows(text)], bool)
-            np.add.at(counts[k], np.clip(_gains(text, pair), -GAINS, GAINS)[held] + GAINS, 1)
+            parts = [w for w in windows(text) if k == 0 or not marks or not marks.isdisjoint(_words(w))]
+            np.add.at(counts[k], np.clip(_gains(parts, pair), -GAINS, GAINS) + GAINS, 1)
     share = counts / counts.sum(1, keepdims=True)
     out = np.clip(np.log(share[1] / share[0]), -3, 8)
     out[GAINS:] = np.maximum.accumulate(out[GAINS:])  # a larger gain never says less
@@ -140,7 +146,6 @@ def _fit_dictionaries(toxic: list[bytes], ordinary: list[bytes], prior: float) -
     The toxic one ends in the words that mark toxic documents, the ordinary one in noise. So ordinary
     text compresses alike with both, and what a window gains is due to these words.
     """
-    toxic, ordinary = distinct(toxic), distinct(ordinary)
     marks = _marks(toxic, ordinary)
     own = b" " + (b" ".join(marks)[-TOXIC_BYTES:] if marks else _dictionary(TOXIC_BYTES, [w for x in toxic for w in windows(x)])) + b" "
     plain = sorted((w for x in ordinary for w in windows(x)), key=zlib.crc32)
@@ -158,15 +163,16 @@ def train(toxic: list[bytes], ordinary: list[bytes], prior: float, folds: int =
     """
     if min(len(toxic), len(ordinary)) < folds:
         return ToxicityModel(prior)
+    keys = [[sketch(t) for t in c] for c in (toxic, ordinary)]
     x, y = [], []
     for fold in range(folds):
-        part = _fit_dictionaries(*([t for i, t in enumerate(c) if i % folds != fold] for c in (toxic, ordinary)), prior)
+        part = _fit_dictionaries(*(distinct(*([v for i, v in enumerate(c) if i % folds != fold] for c in pair)) for pair in zip((toxic, ordinary), keys)), prior)
         pair = _compressor(part.toxic), _compressor(part.ordinary)
         for label, texts in ((1.0, toxic), (0.0, ordinary)):
             own = texts[fold::folds]
-            x += [_features(_gains(t, pair), part.evidence) for t in own]
+            x += [_features(_gains(windows(t), pair), part.evidence) for t in own]
             y += [label] * len(own)
-    model = _fit_dictionaries(toxic, ordinary, prior)
+    model = _fit_dictionaries(distinct(toxic, keys[0]), distinct(ordinary, keys[1]), prior)
     x, y = np.array(x), np.array(y)
     model.centre, model.scale = x.mean(0), x.std(0) + 1e-9
     model.weights = _logistic((x - model.centre) / model.scale, y)
@@ -224,7 +230,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> Data
                 if weights is None:
                     out.append(prior)
                     continue
-                x = (np.array(_features(_gains(text.as_py() or b"", pair), model.evidence)) - centre) / scale
+                x = (np.array(_features(_gains(windows(text.as_py() or b""), pair), model.evidence)) - centre) / scale
                 z = float(weights[0] + x @ weights[1:])
                 out.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.float64())], names=["row", "score"])
