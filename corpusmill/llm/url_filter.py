@@ -58,12 +58,18 @@ def listed_urls(pages: DataFrame, listed: DataFrame, url: str = "url", bits_per_
     bloom = bloom_filter(keys, "listed_url", blocks)
     if blocks <= FILTER_BLOCKS:
         bloom = F.broadcast(bloom)
-    rows = pages.withColumn("canonical_url", canonical(F.col(f"`{url}`"))).withColumn("filter_block", F.pmod(F.xxhash64(F.lit("block"), "canonical_url"), F.lit(blocks)))
+    key = canonical(F.col(f"`{url}`"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), key.alias("canonical_url"), F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks)).alias("filter_block"))
     tests = [f"(w{i} & shiftleft(1L, cast(pmod(xxhash64({i}, canonical_url), 64) as int))) <> 0" for i in range(WORDS)]
-    rows = rows.join(bloom, "filter_block", "left").withColumn("may_hit", F.coalesce(F.expr(" and ".join(tests)), F.lit(False))).drop("filter_block", *(f"w{i}" for i in range(WORDS)))
+    rows = rows.join(bloom, "filter_block", "left").select("page", "canonical_url", F.coalesce(F.expr(" and ".join(tests)), F.lit(False)).alias("may_hit"))
     hits = rows.where("may_hit").join(keys.hint("shuffle_hash"), F.col("canonical_url") == F.col("listed_url"), "left")
-    hits = hits.withColumn("is_listed", F.col("listed_url").isNotNull()).drop("listed_url", "may_hit")
-    return hits.unionByName(rows.where("not may_hit").drop("may_hit").withColumn("is_listed", F.lit(False)))
+    found = hits.select("page", "canonical_url", F.col("listed_url").isNotNull().alias("is_listed"))
+    found = found.unionByName(rows.where("not may_hit").select("page", "canonical_url", F.lit(False).alias("is_listed")))
+    return found.select(*_fields("page", pages.columns, ("canonical_url", "is_listed")), "canonical_url", "is_listed")
+
+
+def _fields(struct: str, columns: list[str], but: tuple) -> list[Column]:
+    return [F.col(f"{struct}.`{c}`").alias(c) for c in columns if c not in but]
 
 
 def rule_for(host: Column, path: Column, rules=RULES) -> Column:
@@ -86,10 +92,14 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url") ->
     A null url, or one without ``://``, has an empty host and path, no rule, and is allowed.
     Columns of pages with these names are replaced.
     """
+    rows = listed_urls(pages, listed, url)
     host, path = F.coalesce(host_of(F.col(f"`{url}`")), F.lit("")), F.coalesce(path_of(F.col(f"`{url}`")), F.lit(""))
-    rows = listed_urls(pages, listed, url).withColumn("host", host).withColumn("path", path)
-    rows = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
-    return rows.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", F.coalesce("_rule.action", F.when(F.col("is_listed"), "block").otherwise("allow"))).drop("_rule")
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("page"), host.alias("host"), path.alias("path"))
+    judged = rows.select("page", "host", "path", rule_for(F.col("host"), F.col("path"), rules).alias("found"))
+    listed_verdict = F.when(F.col("page.is_listed"), "block").otherwise("allow")
+    new = [F.col("host"), F.col("path"), F.col("found.rule").alias("rule"), F.coalesce("found.action", listed_verdict).alias("verdict")]
+    columns = [*(c for c in pages.columns if c not in ("canonical_url", "is_listed")), "canonical_url", "is_listed"]
+    return judged.select(*_fields("page", columns, ("host", "path", "rule", "verdict")), *new)
 
 
 #: Hosts whose pages are on the list of the query below.

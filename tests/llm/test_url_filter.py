@@ -32,6 +32,13 @@ def test_large_filters_are_joined(spark, monkeypatch):
     test_filter_has_no_misses_and_the_join_no_false_hits(spark)
 
 
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.info/x", "p", 5, True), (2, "http://b.info/", "q", 6, None)], "w0 int, url string, page string, filter_block int, is_listed boolean")
+    got = u.judge(pages, spark.createDataFrame([("http://a.info/x",)], "url string"))
+    assert got.columns == ["w0", "url", "page", "filter_block", "canonical_url", "is_listed", "host", "path", "rule", "verdict"]
+    assert sorted((r["w0"], r["page"], r["filter_block"], r["verdict"]) for r in got.collect()) == [(1, "p", 5, "block"), (2, "q", 6, "allow")]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "page_id int, url string")
     assert u.judge(none, none.select("url")).count() == 0
