@@ -92,7 +92,8 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, shape: _Shape):
             continue
         head = np.flatnonzero(np.concatenate(([True], (spot[1:] != spot[:-1]) | (doc[1:] != doc[:-1]))))
         tail = np.concatenate((head[1:], [len(starts)])) - 1
-        found.append((spot[head] + at, h[spot[head]] >> TOP, doc[head], spot[head] - starts[tail], spot[head] - starts[head]))
+        even = mix(h[spot[head]] + U64(1)) >> TOP  # least hashes would crowd the low buckets
+        found.append((spot[head] + at, even, doc[head], spot[head] - starts[tail], spot[head] - starts[head]))
     if not found:
         none = np.zeros(0, np.int64)
         return none, np.zeros(0, U64), none, none, none
