@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import U64, buffer_of, components, drop, ids_of, ngram_hashes, saved, slices, word_hashes
 
 BANDS, ROWS = 56, 7
-MEMBERS, SHINGLES = 400, 400_000  # what one comparing task holds of a group, twice
+MEMBERS, SHINGLES = 400, 400_000  # what a comparing task holds of a group, twice at most
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n_words: int) -> list[np.ndarray]:
@@ -150,56 +150,93 @@ def _member_sets(n_words: int, bands: int, rows: int, seed: int):
     return run
 
 
-def _verify(percent: int, count: int):
-    """Within a cell: signatures choose pairs, full sets confirm them; a spanning forest of the links goes out."""
-    share = percent / 100
-    floor = max(0.0, share - 6 * (share * (1 - share) / count) ** 0.5)
-
-    def links(table: pa.Table, key) -> pa.Table:
-        ci, cj = key[1].as_py(), key[2].as_py()
-        ids = ids_of(table["node"])
-        roots, chunk = ids_of(table["root"]), ids_of(table["chunk"])
-        order = np.lexsort((ids, chunk, roots))
-        sets = [np.frombuffer(x, "<u8") for x in table["set"].to_pylist()]
-        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(len(ids), count)
-        found = []
-        for group in np.split(order, np.flatnonzero(np.diff(roots[order])) + 1):
-            left = group if ci == cj else group[chunk[group] == ci]
-            right = group if ci == cj else group[chunk[group] == cj]
-            found += _forest(ids, sets, marks, left, right, ci == cj, percent, floor)
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
-
-    return lambda key, table: links(table, key)
-
-
-def _forest(ids, sets, marks, left, right, same, percent, floor):
-    parent = {int(i): int(i) for i in (*left, *right)}
-
-    def top(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out, sizes = [], np.array([len(sets[i]) for i in right])
-    for k, i in enumerate(left.tolist()):
-        others = right[k + 1 :] if same else right
-        size = sizes[k + 1 :] if same else sizes
-        n = len(sets[i])
-        others = others[(100 * np.minimum(size, n) >= percent * np.maximum(size, n))]
-        if not len(others):
-            continue
-        alike = (marks[others] == marks[i]).mean(1)
-        good = np.flatnonzero(alike >= floor)
-        for j in others[good[np.argsort(-alike[good], kind="stable")]].tolist():
-            x, y = top(i), top(j)
-            if x == y:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (n + len(sets[j]) - both):
-                parent[max(x, y)] = min(x, y)
-                out.append((int(ids[i]), int(ids[j])))
-    return out
+class _Group:
+    """Rows of one group under comparison: signatures choose pairs, full sets confirm them."""
+
+    def __init__(self, table: pa.Table, percent: int, count: int):
+        share = percent / 100
+        self.percent, self.floor = percent, max(0.0, share - 6 * (share * (1 - share) / count) ** 0.5)
+        self.ids = ids_of(table["node"])
+        self.sets = [np.frombuffer(x, "<u8") for x in table["set"].to_pylist()]
+        self.sizes = np.array([len(s) for s in self.sets])
+        self.marks = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(len(self.ids), count)
+
+    def likely(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others that row i may link with, likeliest first."""
+        n = self.sizes[i]
+        others = others[100 * np.minimum(self.sizes[others], n) >= self.percent * np.maximum(self.sizes[others], n)]
+        alike = (self.marks[others] == self.marks[i]).mean(1) if len(others) else np.zeros(0)
+        good = np.flatnonzero(alike >= self.floor)
+        return others[good[np.argsort(-alike[good], kind="stable")]]
+
+    def linked(self, i: int, j: int) -> bool:
+        both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+        return 100 * both >= self.percent * (self.sizes[i] + self.sizes[j] - both)
+
+    def forest(self, pairs, joined: np.ndarray):
+        """A spanning forest of the links among (row, others) pairs; the rows of ``joined`` are one tree already."""
+        parent = list(range(len(self.ids)))
+        for i in joined.tolist():
+            parent[i] = int(joined[0])
+
+        def top(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for i, others in pairs:
+            for j in self.likely(i, others).tolist():
+                x, y = top(i), top(j)
+                if x != y and self.linked(i, j):
+                    parent[max(x, y)] = min(x, y)
+                    yield int(self.ids[i]), int(self.ids[j])
+
+
+def _links(pairs) -> pa.Table:
+    pairs = list(pairs)
+    return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+
+def _whole_groups(percent: int, count: int):
+    """Groups that fit one task, several to a call: every member with every other."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        group, found = _Group(table, percent, count), []
+        roots = ids_of(table["root"])
+        order = np.lexsort((group.ids, roots))
+        none = np.zeros(0, np.int64)
+        for rows in np.split(order, np.flatnonzero(np.diff(roots[order])) + 1):
+            found += group.forest(((i, rows[k + 1 :]) for k, i in enumerate(rows.tolist())), none)
+        return _links(found)
+
+    return run
+
+
+def _to_hub(percent: int, count: int):
+    """A part of a large group and the group's hub: each row with b, the hub it links with, or null."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        group = _Group(table, percent, count)
+        hub = table["role"].to_numpy() == 1
+        hubs, rows = np.flatnonzero(hub), np.flatnonzero(~hub)
+        good = [any(group.linked(i, j) for j in group.likely(i, hubs).tolist()) for i in rows.tolist()]
+        out = table.take(pa.array(rows)).select(["node", "root", "n", "set", "signature"])
+        return out.append_column("b", pa.array([int(group.ids[hubs[0]]) if g else None for g in good], pa.int64()))
+
+    return run
+
+
+def _rest_with_all(percent: int, count: int):
+    """Some rows that don't link with the hub (role 2), and a part of all rows (role 1: linked with the hub; 0: not)."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        group = _Group(table, percent, count)
+        role = table["role"].to_numpy()
+        every = np.flatnonzero(role < 2)
+        return _links(group.forest(((i, every) for i in np.flatnonzero(role == 2).tolist()), np.flatnonzero(role == 1)))
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, seed: int = 11) -> DataFrame:
@@ -218,8 +255,9 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     bands * rows minima: a pair at 0.8 misses every band of 56 x 7 with probability 2e-6.
     Copies fold into one class first. Buckets link their members to their smallest in a star,
     at first within each task, so that a hot bucket moves one row per task. The groups
-    reached that way are cut into chunks of bounded size whose pairs are compared in tasks
-    of their own, by signature first and full sets then; only a spanning forest goes out.
+    reached that way are compared by signature first and full sets then; only a spanning
+    forest goes out. A group too large for a task meets its hub, the smallest member, in parts of
+    bounded size; only members that don't link with the hub meet all others, again in parts.
     """
     count = bands * rows
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -240,17 +278,27 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
 
     sets = base.join(coarse.select(F.col("node").alias("doc_id"), "root").hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "root", "text")
     sets = saved(sets.mapInArrow(_member_sets(n_words, bands, rows, seed), "node bigint, root bigint, n bigint, set binary, signature binary"), "sets")
-    totals = sets.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total"))
-    totals = totals.select("root", F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("total") / SHINGLES)).cast("int").alias("chunks"))
-    dealt = sets.join(totals, "root").withColumn("chunk", F.when(F.col("chunks") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cells = max(parts, 1) * 4
-    dealt = dealt.select(
-        "node", "root", F.col("chunk").cast("bigint").alias("chunk"), "set", "signature",
-        F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(cells))).otherwise(F.xxhash64("root")).alias("cell"),
-        F.least("chunk", "other").alias("ci"), F.greatest("chunk", "other").alias("cj"),
-    )
-    links = dealt.groupBy("cell", "ci", "cj").applyInArrow(_verify(percent, count), "a bigint, b bigint")
+    columns = ["node", "root", "n", "set", "signature"]
+    parts_of = F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("total") / SHINGLES)).cast("int")
+    totals = sets.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total")).select("root", parts_of.alias("parts"))
+    sized = sets.join(totals, "root")
+    small = sized.where("parts = 1").select(*columns, F.pmod(F.xxhash64("root"), F.lit(4 * parts)).alias("cell"))
+    links = small.groupBy("cell").applyInArrow(_whole_groups(percent, count), "a bigint, b bigint")
+    large = sized.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    hubs = large.where("node = root").withColumn("part", every_part)
+    shape = "node bigint, root bigint, n bigint, set binary, signature binary"
+    met = large.where("node <> root").withColumn("role", F.lit(0)).unionByName(hubs.withColumn("role", F.lit(1)))
+    met = saved(met.select(*columns, "role", "part").groupBy("root", "part").applyInArrow(_to_hub(percent, count), f"{shape}, b bigint"), "met")
+    links = links.unionByName(met.where("b is not null").select(F.col("node").alias("a"), "b"))
+    rest = met.where("b is null")
+    left = rest.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total")).select("root", parts_of.alias("rest_parts"))
+    again = met.join(totals, "root").join(left, "root").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
+    every_rest = F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1))
+    alls = again.select(*columns, "part", every_rest.alias("rest_part"), F.col("b").isNotNull().cast("int").alias("role"))
+    asked = again.where("b is null").withColumn("rest_part", F.pmod(F.xxhash64("node", "n", F.lit(1)), F.col("rest_parts")).cast("int"))
+    asked = asked.select(*columns, every_part.alias("part"), "rest_part", F.lit(2).alias("role"))
+    links = links.unionByName(alls.unionByName(asked).groupBy("root", "part", "rest_part").applyInArrow(_rest_with_all(percent, count), "a bigint, b bigint"))
     found = components(links)
     drop(sets)
     ids = reps.select("class", "rep").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").select("class", "rep", F.coalesce("root", "rep").alias("root"))

@@ -48,7 +48,7 @@ def corpus(seed, n):
     return rows + [(10_000, ""), (10_001, None), (10_002, " \t"), (10_003, "one"), (10_004, "ONE"), (10_005, "É a"), (10_006, "é a"), (10_007, "x " * 5000), (10_008, "x " * 7000)]
 
 
-@pytest.mark.parametrize("members,shingles", [(400, 400_000), (7, 500)])
+@pytest.mark.parametrize("members,shingles", [(400, 400_000), (7, 500), (30, 3000)])
 def test_brute_force(spark, monkeypatch, members, shingles):
     monkeypatch.setattr(minhash, "MEMBERS", members)
     monkeypatch.setattr(minhash, "SHINGLES", shingles)
@@ -57,6 +57,16 @@ def test_brute_force(spark, monkeypatch, members, shingles):
     assert result(minhash.near_duplicates(docs, 4)) == brute(rows, 4)
 
 
+def test_a_group_whose_hub_is_an_outlier(spark, monkeypatch):
+    """A chain from the hub on: each text links with its neighbours only."""
+    monkeypatch.setattr(minhash, "MEMBERS", 5)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[4 * i : 4 * i + 80])) for i in range(60)] + [(100 + i, " ".join(words[:80] + [f"x{i}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = result(minhash.near_duplicates(docs, 4))
+    assert got == brute(rows, 4) and len({g[2] for g in got}) == 1
+
+
 def test_odd_rows(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(None, text, 1), (None, text, 2), (5, text, 3), (5, text, 4), (7, text, 5)], "doc_id bigint, text string, root int")
