@@ -5,25 +5,15 @@ from __future__ import annotations
 import contextlib
 import gc
 import math
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------- scratch tables
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ..scratch import CLEANUP, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; below the local temp folder where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.gettempdir()}/corpusmill-{spark.sparkContext.applicationId}"
-    return f"{base.rstrip('/')}/corpusmill/{uuid.uuid4().hex}"
+# ---------------------------------------------------------------- scratch tables
 
 
 def saved(df: DataFrame, name: str, *folders: str) -> DataFrame:
