@@ -57,10 +57,9 @@ def unigram_perplexity(df: DataFrame, content: str = "content", key: str = "doc_
     """
     each = df.select(F.col(key).alias("key"), F.explode(X.words(F.lower(F.col(content)))).alias("word")).groupBy("key", "word").agg(F.count("*").alias("n"))
     corpus = each.groupBy("word").agg(F.sum("n").alias("c"))
-    size = corpus.agg(F.sum("c").alias("total"), F.count("*").alias("vocabulary"))
-    scored = each.join(corpus, "word").crossJoin(F.broadcast(size))  # one row
-    loss = -F.log((F.col("c") + 1) / (F.col("total") + F.col("vocabulary")))
-    found = scored.groupBy("key").agg(F.exp(F.sum(loss * F.col("n")) / F.sum("n")).alias("perplexity"))
+    size = corpus.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    loss = -F.log((F.col("c") + 1) / F.lit(size[0] + size[1]))
+    found = each.join(corpus, "word").groupBy("key").agg(F.exp(F.sum(loss * F.col("n")) / F.sum("n")).alias("perplexity"))
     return df.drop("perplexity").join(found, F.col(key) == F.col("key"), "left").drop(found["key"])
 
 

@@ -167,8 +167,7 @@ def load(path: str) -> dict:
 
 def filter_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows before and after, and the share that went in percent (0 without rows)."""
-    a, b = before.agg(F.count("*").alias("before")), after.agg(F.count("*").alias("after"))
+    rows = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select(F.lit(0).alias("b"), F.lit(1).alias("a")))
+    counted = rows.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("before"), F.coalesce(F.sum("a"), F.lit(0)).alias("after"))
     gone = F.when(F.col("before") > 0, (F.col("before") - F.col("after")) / F.col("before") * 100).otherwise(0.0)
-    return a.crossJoin(b).withColumn("removed_percent", gone.cast("double"))
-
-
+    return counted.withColumn("removed_percent", gone.cast("double"))
