@@ -285,11 +285,12 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     small = sized.where("parts = 1").select(*columns, F.pmod(F.xxhash64("root"), F.lit(4 * parts)).alias("cell"))
     links = small.groupBy("cell").applyInArrow(_whole_groups(percent, count), "a bigint, b bigint")
     large = sized.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
+    # dealt by all keys below: Spark would leave the parts of a group together where a join has dealt them by root
     every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     hubs = large.where("node = root").withColumn("part", every_part)
     shape = "node bigint, root bigint, n bigint, set binary, signature binary"
     met = large.where("node <> root").withColumn("role", F.lit(0)).unionByName(hubs.withColumn("role", F.lit(1)))
-    met = saved(met.select(*columns, "role", "part").groupBy("root", "part").applyInArrow(_to_hub(percent, count), f"{shape}, b bigint"), "met")
+    met = saved(met.select(*columns, "role", "part").repartition("root", "part").groupBy("root", "part").applyInArrow(_to_hub(percent, count), f"{shape}, b bigint"), "met")
     links = links.unionByName(met.where("b is not null").select(F.col("node").alias("a"), "b"))
     rest = met.where("b is null")
     left = rest.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total")).select("root", parts_of.alias("rest_parts"))
@@ -298,7 +299,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     alls = again.select(*columns, "part", every_rest.alias("rest_part"), F.col("b").isNotNull().cast("int").alias("role"))
     asked = again.where("b is null").withColumn("rest_part", F.pmod(F.xxhash64("node", "n", F.lit(1)), F.col("rest_parts")).cast("int"))
     asked = asked.select(*columns, every_part.alias("part"), "rest_part", F.lit(2).alias("role"))
-    links = links.unionByName(alls.unionByName(asked).groupBy("root", "part", "rest_part").applyInArrow(_rest_with_all(percent, count), "a bigint, b bigint"))
+    links = links.unionByName(alls.unionByName(asked).repartition("root", "part", "rest_part").groupBy("root", "part", "rest_part").applyInArrow(_rest_with_all(percent, count), "a bigint, b bigint"))
     found = components(links)
     drop(sets)
     ids = reps.select("class", "rep").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").select("class", "rep", F.coalesce("root", "rep").alias("root"))
