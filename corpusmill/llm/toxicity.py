@@ -1,4 +1,4 @@
-"""Toxicity by compression distance: zstandard dictionaries trained on toxic and on ordinary text."""
+"""Toxicity by compression distance: two zstandard dictionaries on a base trained on ordinary text, one with a list of words that mark toxic text."""
 
 from __future__ import annotations
 
@@ -144,7 +144,8 @@ def _fit_dictionaries(toxic: list[bytes], ordinary: list[bytes], prior: float) -
     """Dictionaries and evidence; both dictionaries end in bytes of one length behind a base trained on ordinary text.
 
     The toxic one ends in the words that mark toxic documents, the ordinary one in noise. So ordinary
-    text compresses alike with both, and what a window gains is due to these words.
+    text compresses alike with both, and what a window gains is due to these words. Only without such
+    words is the toxic one's end trained on toxic windows. README: the cut-offs, and what trained dictionaries reach.
     """
     marks = _marks(toxic, ordinary)
     own = b" " + (b" ".join(marks)[-TOXIC_BYTES:] if marks else _dictionary(TOXIC_BYTES, [w for x in toxic for w in windows(x)])) + b" "
