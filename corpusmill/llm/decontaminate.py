@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman scores them."""
+"""Benchmark decontamination: the rarer words of test items lead to passages, Smith-Waterman scores them."""
 
 from __future__ import annotations
 
@@ -10,37 +10,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, buffer_of, ngram_hashes, parts_for, slices, word_hashes
+from .common import U64, buffer_of, parts_for, slices, word_hashes
 
-SEED_WORDS = 3
-RARE_DOCUMENTS = 64  # a seed in at most so many documents is rare anywhere
-WINDOW = 4  # of any so many neighbouring seeds of an item the rarest is always used
+SEED_SHARE = 5  # a copy is looked at once it holds one in so many of the words that it must hold
 MATCH, MISMATCH, GAP = 2, 1, 1
 SCORE = 0.5
 BENCHMARK_BYTES = 16 << 20  # of test items that are broadcast at once
 CELLS = 1 << 18
+ENTRIES = 1 << 22  # (seed, item) pairs of documents that are sorted at once
 
 
 @dataclass
 class Seeds:
-    """Test items as word hashes, and their seeds: for each seed length, sorted hashes with (item, place) of each."""
+    """Test items as word hashes, and their seeds: sorted hashes, and the items of the k-th from first[k] to first[k + 1].
+
+    For each item: how many of its words a copy matches at least, how many of its seeds, and over how many words at most.
+    """
 
     ids: list
     words: np.ndarray
     starts: np.ndarray
-    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
-
-
-def _item_grams(texts: list[bytes], seed_words: int):
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    words, starts, _, _ = word_hashes(raw, np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64), bare=True)
-    by: dict[int, list] = {}
-    for item, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
-        n = min(seed_words, b - a)
-        if n:
-            g = ngram_hashes(words[a:b], n)
-            by.setdefault(n, []).append((g, np.full(len(g), item), np.arange(len(g))))
-    return words, starts, {n: tuple(np.concatenate(c) for c in zip(*rows)) for n, rows in by.items()}
+    matches: np.ndarray
+    need: np.ndarray
+    span: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
 
 
 def _finder(hashes: np.ndarray):
@@ -57,62 +52,48 @@ def _finder(hashes: np.ndarray):
     return find
 
 
-def _hits(words: np.ndarray, starts: np.ndarray, finders: dict):
-    """(word position, document, seed length, place in that length's sorted hashes) of each seed in the texts."""
-    for n, find in finders.items():
-        at, place = find(ngram_hashes(words, n))
-        doc = np.searchsorted(starts, at, side="right") - 1
-        whole = at + n <= starts[doc + 1]
-        yield n, at[whole], doc[whole], place[whole]
-
-
-def _count(hashes: dict[int, np.ndarray]):
-    """Documents that hold each seed, summed over a task: rows (length, place, documents)."""
+def _count(hashes: np.ndarray):
+    """How often each hash is a word of the texts, summed over a task: rows (place, times)."""
 
     def run(batches):
-        finders = {n: _finder(h) for n, h in hashes.items()}
-        total = {n: np.zeros(len(h), np.int64) for n, h in hashes.items()}
+        find, total = _finder(hashes), np.zeros(len(hashes), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                words, starts, _, _ = word_hashes(*buffer_of(part.column(0)), bare=True)
-                for n, _, doc, place in _hits(words, starts, finders):
-                    pair = np.unique(doc * len(hashes[n]) + place)
-                    total[n] += np.bincount(pair % len(hashes[n]), minlength=len(hashes[n]))
-        for n, t in total.items():
-            at = np.flatnonzero(t)
-            yield pa.record_batch({"n": pa.array([n] * len(at), pa.int32()), "place": pa.array(at), "documents": pa.array(t[at])})
+                words, _, _, _ = word_hashes(*buffer_of(part.column(0)), bare=True)
+                total += np.bincount(find(words)[1], minlength=len(hashes))
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"place": pa.array(at), "times": pa.array(total[at])})
 
     return run
 
 
-def rarest(grams: np.ndarray, item: np.ndarray, documents: np.ndarray, rare: int, window: int) -> np.ndarray:
-    """Which of the items' seeds are used: those in at most ``rare`` documents, and the rarest (the first of several) of any ``window`` neighbours."""
-    keep = documents <= rare
-    order = np.lexsort((np.arange(len(grams)), documents))
-    rank = np.empty(len(grams), np.int64)
-    rank[order] = np.arange(len(grams))
-    for a, b in zip(*(np.flatnonzero(x) for x in (np.r_[True, item[1:] != item[:-1]], np.r_[item[1:] != item[:-1], True]))):
-        r = rank[a : b + 1]
-        wide = np.lib.stride_tricks.sliding_window_view(r, min(window, len(r)))
-        keep[a + np.arange(len(wide)) + wide.argmin(1)] = True
-    return keep
-
-
-def make_seeds(docs: DataFrame, items: list, seed_words: int = SEED_WORDS, rare: int = RARE_DOCUMENTS, window: int = WINDOW) -> Seeds:
-    """Seeds of the items, chosen by in how many of all documents each occurs."""
-    words, starts, grams = _item_grams([t for _, t in items], seed_words)
-    hashes = {n: np.unique(g) for n, (g, _, _) in grams.items()}
-    documents = {n: np.zeros(len(h), np.int64) for n, h in hashes.items()}
-    if hashes:
-        counted = docs.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(_count(hashes), "n int, place bigint, documents bigint")
-        for n, place, k in counted.groupBy("n", "place").agg(F.sum("documents")).collect():  # a row for each seed of the items at most
-            documents[n][place] = k
-    used = {}
-    for n, (g, item, place) in grams.items():
-        keep = rarest(g, item, documents[n][np.searchsorted(hashes[n], g)], rare, window)
-        order = np.argsort(g[keep], kind="stable")
-        used[n] = tuple(c[keep][order] for c in (g, item, place))
-    return Seeds([i for i, _ in items], words, starts, used)
+def make_seeds(docs: DataFrame, items: list, score: float = SCORE) -> Seeds:
+    """Seeds of the items: so many of an item's words that a copy which reaches the score holds ``need`` of them.
+
+    A copy matches at least score * length words of its item, so all but ``matches - need`` words
+    of an item are enough. Which ones only decides the work: those that are rarest in docs.
+    """
+    texts = [t for _, t in items]
+    words, starts, _, _ = word_hashes(np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64), bare=True)
+    hashes = np.unique(words)
+    times = np.zeros(len(hashes), np.int64)
+    if len(hashes):
+        counted = docs.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(_count(hashes), "place bigint, times bigint")
+        for place, k in counted.groupBy("place").agg(F.sum("times")).collect():  # a row for each word of the items at most
+            times[place] = k
+    length = np.diff(starts)
+    matches = np.maximum(1, np.ceil(score * length - 1e-9).astype(np.int64))
+    need = 1 + (matches - 1) // SEED_SHARE
+    span = length + (MATCH * length * (1 - score) / min(MISMATCH, GAP)).astype(np.int64) + 1  # more gaps than this can't reach the score
+    place = np.searchsorted(hashes, words)
+    owner = np.repeat(np.arange(len(length)), length)
+    order = np.lexsort((times[place], owner))  # each item's words, the rarest first
+    rank = np.arange(len(words)) - np.repeat(starts[:-1], length)
+    used = order[rank < (length - matches + need)[owner]]
+    pair = np.unique(place[used] * max(1, len(items)) + owner[used])
+    seed, item = np.divmod(pair, max(1, len(items)))
+    own, first = np.unique(seed, return_index=True)
+    return Seeds([i for i, _ in items], words, starts, matches, need, span, hashes[own], np.r_[first, len(pair)], item)
 
 
 def smith_waterman(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,34 +124,63 @@ def smith_waterman(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple
     return best, end, row
 
 
-def _candidates(words, starts, finders, seeds: Seeds, score: float):
-    """(document, item, first word, end word) of passages around seeds that can reach the score."""
-    found = []
-    for n, at, doc, place in _hits(words, starts, finders):
-        h, item, inside = seeds.by_length[n]
-        unique, first, count = np.unique(h, return_index=True, return_counts=True)
-        many = count[place]
-        k = np.repeat(np.arange(len(at)), many)
-        entry = first[place][k] + np.arange(len(k)) - np.repeat(np.cumsum(many) - many, many)
-        found.append((doc[k], item[entry], at[k] - inside[entry]))
-    if not found:
-        return
-    doc, item, begin = (np.concatenate(x) for x in zip(*found))
-    if not len(doc):
+def _in(words: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which words are in ``held``, which is sorted."""
+    return held[np.minimum(held.searchsorted(words), len(held) - 1)] == words
+
+
+def _heads(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of intervals in order, those that begin a run of overlapping ones of a group, and those that end one."""
+    new = (group[1:] != group[:-1]) | (a[1:] >= b[:-1])
+    return np.flatnonzero(np.r_[True, new]), np.flatnonzero(np.r_[new, True])
+
+
+def _candidates(words, starts, find, seeds: Seeds):
+    """(document, item, first word, end word) of all passages that can reach the score."""
+    at, place = find(words)
+    many = np.diff(seeds.first)[place]
+    doc = np.searchsorted(starts, at, side="right") - 1
+    done = np.r_[0, np.cumsum(many)]
+    ends = np.searchsorted(at, starts[1:])  # of each document
+    begin = 0
+    while begin < len(at):
+        # whole documents of at most ENTRIES pairs, or one document
+        to = int(ends[max(np.searchsorted(done[ends], done[begin] + ENTRIES, side="right") - 1, doc[begin])])
+        yield from _passages(words, starts, at[begin:to], doc[begin:to], place[begin:to], many[begin:to], seeds)
+        begin = to
+
+
+def _passages(words, starts, at, doc, place, many, seeds: Seeds):
+    k = np.repeat(np.arange(len(at)), many)
+    item = seeds.item[seeds.first[place][k] + np.arange(len(k)) - np.repeat(np.cumsum(many) - many, many)]
+    group = doc[k] * len(seeds.ids) + item
+    order = np.argsort(group, kind="stable")
+    group, at = group[order], at[k[order]]
+    doc, item = np.divmod(group, len(seeds.ids))
+    last = np.arange(len(at)) + seeds.need[item] - 1
+    inside = np.minimum(last, len(at) - 1)
+    good = (last < len(at)) & (group[inside] == group) & (at[inside] - at < seeds.span[item])
+    if not good.any():
         return
-    length = np.diff(seeds.starts)[item]
-    slack = (MATCH * length * (1 - score) / GAP).astype(np.int64) + 1  # more gaps than this can't reach the score
-    a, b = np.maximum(begin - slack, starts[doc]), np.minimum(begin + length + slack, starts[doc + 1])
-    order = np.lexsort((a, item, doc))
-    doc, item, a, b = doc[order], item[order], a[order], b[order]
-    same = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1])
-    group = np.cumsum(np.r_[True, ~same])
-    reach = np.maximum.accumulate(b + group * (len(words) + 1)) - group * (len(words) + 1)
-    head = np.flatnonzero(np.r_[True, ~same | (a[1:] >= reach[:-1])])
-    for d, i, x, y in zip(doc[head].tolist(), item[head].tolist(), a[head].tolist(), np.maximum.reduceat(b, head).tolist()):
-        own = seeds.words[seeds.starts[i] : seeds.starts[i + 1]]
-        if np.isin(own, words[x:y]).sum() >= score * len(own):
-            yield d, i, x, y
+    group, doc, item, at = group[good], doc[good], item[good], at[good]
+    a, b = np.maximum(at - seeds.span[item], starts[doc]), np.minimum(at + seeds.span[item], starts[doc + 1])
+    head, tail = _heads(group, a, b)
+    ordered: dict[int, np.ndarray] = {}
+    for d, i, x, y in zip(doc[head].tolist(), item[head].tolist(), a[head].tolist(), b[tail].tolist()):
+        own, least, span = seeds.words[seeds.starts[i] : seeds.starts[i + 1]], int(seeds.matches[i]), int(seeds.span[i])
+        if i not in ordered:
+            ordered[i] = np.sort(own)
+        hit = x + np.flatnonzero(_in(words[x:y], ordered[i]))
+        if len(hit) < least:
+            continue
+        hit = hit[: len(hit) - least + 1][hit[least - 1 :] - hit[: len(hit) - least + 1] < span]  # enough of the item's words follow
+        if not len(hit):
+            continue
+        end = np.minimum(hit + span, y)
+        first, final = _heads(np.zeros(len(hit)), hit, end)
+        for v, w in zip(hit[first].tolist(), end[final].tolist()):
+            if _in(own, np.sort(words[v:w])).sum() >= least:
+                yield d, i, v, w
 
 
 def _aligned(words, candidates: list, seeds: Seeds, score: float):
@@ -201,13 +211,13 @@ LEAKS = "array<struct<item_id:bigint,score:double,begin:int,end:int>>"
 def _search(broadcast, score: float, names: list[str]):
     def run(batches):
         seeds: Seeds = broadcast.value
-        finders = {n: _finder(np.unique(h)) for n, (h, _, _) in seeds.by_length.items()}
+        find = _finder(seeds.hashes)
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, offsets = buffer_of(part.column(0))
                 words, starts, first, last = word_hashes(raw, offsets, bare=True)
                 leaks: list[dict] = [{} for _ in range(part.num_rows)]
-                for d, i, value, x, y in _aligned(words, list(_candidates(words, starts, finders, seeds, score)), seeds, score):
+                for d, i, value, x, y in _aligned(words, list(_candidates(words, starts, find, seeds)) if len(seeds.hashes) else [], seeds, score):
                     if i not in leaks[d] or (value, -x) > (leaks[d][i][0], -leaks[d][i][1]):
                         leaks[d][i] = (value, x, y)
                 rows = part.column(1).to_pylist()
@@ -218,22 +228,21 @@ def _search(broadcast, score: float, names: list[str]):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, seed_words: int = SEED_WORDS, benchmark_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, benchmark_bytes: int = BENCHMARK_BYTES) -> DataFrame:
     """docs plus ``leaks``: the test items that a document holds a copy of, edited or not.
 
     docs: text and any others; benchmark: item_id (integer) and text. Words are runs of letters and
-    digits, lower-cased; punctuation doesn't count. Seeds are runs of ``seed_words`` words of an
-    item (a shorter item: all its words) that are rare over all documents, and the rarest of
-    any few neighbours however frequent they are, so that an item that many documents copy is
-    still found. Passages around seeds are aligned with the item on their full words; a leak is an
-    alignment of at least ``score`` of the item's own. Each leak has item_id, score (of 1), and
+    digits, lower-cased; punctuation doesn't count. A leak is a local alignment (match 2, others
+    -1) of at least ``score`` of the item's own, and every one is found, however frequent the
+    item's words are: it matches ``score`` of them within a bounded passage, so those passages that hold
+    enough of its words are aligned in full. Each leak has item_id, score (of 1), and
     the first and end byte of the text that align; of several in a document the best (then
     the first) stands for an item. Null, empty and wordless texts and items leak nothing; equal
     items each count, repeated rows of the benchmark once; a null item_id is kept as such. A
     column of docs named ``leaks`` is replaced.
 
     Items are broadcast in chunks of ``benchmark_bytes`` of text at most (or one longer item).
-    Documents are never shuffled; each chunk reads them to count its seeds and passes them on.
+    Documents are never shuffled; each chunk reads them to count its words and passes them on.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").cast("binary").alias("text")).where("octet_length(text) > 0").distinct()
@@ -244,7 +253,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, seed
     for chunk in range(chunks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk)
         rows = sorted(((r[0], bytes(r[1])) for r in part.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-        held = spark.sparkContext.broadcast(make_seeds(docs, rows, seed_words))
+        held = spark.sparkContext.broadcast(make_seeds(docs, rows, score))
         out = out.mapInArrow(_search(held, score, schema.names), schema)
     return out.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "leaks"], "leaks")
 

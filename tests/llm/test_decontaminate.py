@@ -103,3 +103,21 @@ def test_query_finds_every_exact_copy(spark, duck, small):
     got = {(r["doc_id"], r["item_id"]) for r in d.op4_decontaminate(spark, small).collect()}
     exact = set(duck.execute("select doc_id, item_id from documents d, benchmark b where contains(d.text, b.text)").fetchall())
     assert exact and exact <= got
+
+
+def test_edited_copies_of_short_items_in_many_documents(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choices(VOCABULARY, k=15))) for i in range(3)]
+    docs = []
+    for n in range(600):
+        own = items[n % 3][1].split()
+        for _ in range(rng.choice([0, 4, 5, 5, 6])):
+            at = rng.randrange(len(own))
+            own[at : at + 1] = rng.choice([[rng.choice(VOCABULARY)], [rng.choice(VOCABULARY), own[at]], []])
+        docs.append((n, " ".join(rng.choices(VOCABULARY, k=10) + own + rng.choices(VOCABULARY, k=10))))
+    # every second word is another one's: all words match, none beside its neighbour
+    docs += [(1000 + n, " ".join(w + f" v{rng.randrange(10**6)}" for w in items[n % 3][1].split())) for n in range(100)]
+    got = {(r["doc_id"], x["item_id"]): x["score"] for r in d.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect() for x in r["leaks"]}
+    want = {(n, i): s for n, t in docs for i, b in items if (s := slow_alignment(b.split(), t.split()) / (d.MATCH * 15)) >= d.SCORE}
+    assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+    assert all(sum(x == i for _, x in want) > 64 for i, _ in items)
