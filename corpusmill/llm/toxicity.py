@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     """Train on a bounded sample of labelled rows: those with the least hashes of doc_id that aren't held out.
 
     At most toxic_rows and ordinary_rows rows, and of each class whole texts up to
-    sample_bytes in all, the rest left out. Labels other than 0 and 1, null ids and labels
+    sample_bytes in all, those that don't fit passed over; an error if that leaves too few. Labels other than 0 and 1, null ids and labels
     without a document count for nothing. Without both classes the score is the share of
     toxic labels (0.5 without labels).
     """
@@ -204,12 +204,16 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     for kind, most in ((1, toxic_rows), (0, ordinary_rows)):
         picked = known.where(F.col("toxic") == kind).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         sizes = rows.join(F.broadcast(picked), "doc_id").select("doc_id", F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(2 * most).collect()
-        ids, total = [], 0
+        size: dict[int, int] = {}
         for r in sizes:
-            total += r["n"]
-            if total > sample_bytes:
-                break
-            ids.append(r["doc_id"])
+            size[r["doc_id"]] = size.get(r["doc_id"], 0) + r["n"]
+        ids, total = [], 0
+        for doc_id, n in size.items():
+            if total + n <= sample_bytes:
+                total += n
+                ids.append(doc_id)
+        if len(ids) < FOLDS <= len(size):
+            raise ValueError(f"of {len(size)} labelled texts of class {kind} only {len(ids)} fit in sample_bytes = {sample_bytes}")
         got = rows.where(F.col("doc_id").isin(ids)).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * most).collect() if ids else []
         texts[kind] = [bytes(r["text"]) for r in got]
     return train(texts[1], texts[0], prior)

@@ -55,3 +55,15 @@ def test_edge_cases(spark):
         assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
         assert prior is None or {r["score"] for r in got} == {prior}
     assert t.score(docs.limit(0), model).count() == 0
+
+
+def test_a_long_text_does_not_end_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(1, 61).where(~t.held_out("id")).orderBy(F.xxhash64("id")).toPandas().id.tolist()
+    long = {next(i for i in ids if i % 2 == k) for k in (0, 1)}
+    docs = spark.createDataFrame([(i, ("vile words " if i % 2 else "kind words ") * (2000 if i in long else 5)) for i in ids], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, toxic int")
+    assert t.fit(docs, labels, sample_bytes=5000).weights is not None
+    with pytest.raises(ValueError, match="sample_bytes"):
+        t.fit(docs, labels, sample_bytes=20)
