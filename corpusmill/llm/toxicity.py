@@ -1,38 +1,40 @@
-"""Toxicity by compression distance: two zstandard dictionaries on a base trained on ordinary text, one with a list of words that mark toxic text."""
+"""Toxicity by compression distance: zstandard dictionaries trained on toxic and on ordinary text, and the window lengths under each."""
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import slices
 
 WINDOW = 64
-BASE_BYTES, TOXIC_BYTES = 1 << 15, 2048
-WORD = 4  # bytes of a word that may mark toxic text, at least
-MARKED_SHARE, MARKED_RATIO = 0.008, 30.0  # of toxic documents, and of their share to that of ordinary ones
-GAINS = 20  # gains from -GAINS to GAINS bytes are told apart
+BASE_BYTES, OWN_BYTES = 1 << 15, 1 << 12
+SEGMENT, RUN = 16, 8  # of the training: bytes of a segment that a dictionary takes, and of the strings whose frequency chooses it
+PAIRS = 5  # pairs of dictionaries whose gains are added
+ROUNDS, SHARE, LEAST_GAIN = 6, 0.03, 2  # toxic windows are chosen in so many rounds: this share of each text's, if they gain so many bytes
+GAINS = 30  # sums of gains from -GAINS to GAINS bytes are told apart
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2000, 4000, 24 << 20
 FOLDS = 3
-EVIDENCE_STEP = 4  # of the ordinary texts of the sample every fourth tells how frequent a gain is there
 
 _BREAK = re.compile(rb"[^a-z0-9\x80-\xff]+")
 
 
 @dataclass
 class ToxicityModel:
-    """Two dictionaries, how much each gain speaks for toxic text (a log likelihood ratio), and a calibrated logistic; weights None: the score is ``prior``."""
+    """Pairs of dictionaries (toxic, ordinary), the log likelihood ratio of each gain, and a calibrated logistic; weights None: the score is ``prior``."""
 
     prior: float
-    toxic: bytes = b""
-    ordinary: bytes = b""
+    pairs: list[tuple[bytes, bytes]] = field(default_factory=list)
     evidence: np.ndarray | None = None
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
@@ -59,75 +61,132 @@ def _compressor(content: bytes) -> zs.ZstdCompressor:
     return zs.ZstdCompressor(compression_params=params, dict_data=held)
 
 
-def _gains(parts: list[bytes], pair: tuple) -> np.ndarray:
-    """Bytes by which the toxic dictionary compresses each window better than the ordinary one."""
-    toxic, ordinary = pair
-    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts], np.int64)
+def _lengths(content: bytes, parts: list[bytes]) -> np.ndarray:
+    compress = _compressor(content).compress
+    return np.array([len(compress(w)) for w in parts], np.int64)
 
 
-def _features(gains: np.ndarray, evidence: np.ndarray) -> list[float]:
-    g = np.sort(gains if len(gains) else np.zeros(1, np.int64)).astype(float)
-    e = evidence[np.clip(g, -GAINS, GAINS).astype(int) + GAINS]
-    more = np.exp(e) - 1
-    over = np.maximum(g - 2, 0)
-    return [
-        np.log1p(0.02 * more).sum(), np.log1p(0.2 * more).sum(), e.max(), np.sort(e)[-3:].sum(), g[-1], g[-3:].mean(), g.mean(), np.maximum(g, 0).mean(),
-        over.mean(), math.log1p((g >= 3).sum()), math.log1p((g >= 5).sum()), (g >= 4).mean(), math.log1p(over.sum()), math.log(len(g)),
-    ]
+class _Windows:
+    """The windows of texts, laid end to end, and the text of each."""
 
+    def __init__(self, texts: list[bytes]):
+        each = [windows(t) for t in texts]
+        self.parts = [w for x in each for w in x]
+        self.of = np.repeat(np.arange(len(texts)), [len(x) for x in each])
+        self.texts = len(texts)
 
-def _words(text: bytes) -> list[bytes]:
-    return [w for w in _BREAK.split(text.lower()) if w]
+    def take(self, rows) -> list[bytes]:
+        return [self.parts[i] for i in rows.tolist()]
 
 
-def sketch(text: bytes) -> int:
-    """The least hash of the text's runs of four words, which most copies share."""
-    w = _words(text)
-    return min(zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3)))
+def train_dictionary(size: int, samples: list[bytes]) -> bytes:
+    """zstandard's dictionary for the samples; their text itself where they are too few to train on."""
+    try:
+        return zs.train_dictionary(size, samples, k=SEGMENT, d=RUN).as_bytes()
+    except zs.ZstdError:
+        return b" ".join(samples)[:size]
 
 
-def distinct(texts: list[bytes], sketches: list[int]) -> list[bytes]:
-    """The first text of each sketch, so that copies don't count as documents of their own."""
-    found: dict[int, bytes] = {}
-    for text, key in zip(texts, sketches):
-        found.setdefault(key, text)
-    return list(found.values())
+def _chosen(gain: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The windows of each text that gain most: SHARE of them, one at least, and LEAST_GAIN bytes at least."""
+    order = np.lexsort((-gain, of))
+    n = np.bincount(of)
+    rank = np.arange(len(of)) - (np.cumsum(n) - n)[of[order]]
+    take = order[rank < np.maximum(1, np.ceil(SHARE * n[of[order]]))]
+    return take[gain[take] >= LEAST_GAIN]
 
 
-def _marks(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words of many toxic documents and few ordinary ones, the most frequent last."""
-    n, m = Counter(), Counter()
-    for texts, count in ((toxic, n), (ordinary, m)):
-        for text in texts:
-            count.update(set(_words(text)))
-    least = max(3, round(MARKED_SHARE * len(toxic)))
+def train_pair(toxic: list[bytes], ordinary: list[bytes], seed: int) -> tuple[bytes, bytes]:
+    """(toxic dictionary, ordinary dictionary): behind one base of BASE_BYTES for both, OWN_BYTES trained on windows of the own class only.
 
-    def ratio(w):
-        return ((n[w] + 0.5) / len(toxic)) / ((m[w] + 0.5) / len(ordinary))
+    The base is trained on ordinary windows, so that prose which any text holds compresses alike
+    with both. Most windows of a toxic text are ordinary too; which ones aren't is found in
+    rounds: a dictionary trained on one half of the toxic texts measures the windows of the other half,
+    those that gain most train the next one.
+    """
+    rng = np.random.default_rng(seed)
+    t, o = _Windows(toxic), _Windows(ordinary)
+    plain = o.take(rng.permutation(len(o.parts)))
+    cut = len(plain) // 2
+    base = train_dictionary(BASE_BYTES, plain[:cut])
+    ordinary_end = train_dictionary(OWN_BYTES, plain[cut:])
+    half = rng.permutation(np.arange(t.texts) % 2)[t.of]
+    rows = [np.flatnonzero(half == h) for h in (0, 1)]
+    length = _lengths(base + ordinary_end, t.parts)
+    chosen = np.arange(len(t.parts))
+    for _ in range(ROUNDS):
+        gain = np.zeros(len(t.parts), np.int64)
+        for h in (0, 1):
+            end = train_dictionary(OWN_BYTES, t.take(chosen[half[chosen] == h]))
+            other = rows[1 - h]
+            gain[other] = length[other] - _lengths(base + end, t.take(other))
+        best = _chosen(gain, t.of)
+        if min(np.bincount(half[best], minlength=2)) == 0:
+            break
+        chosen = best
+    return base + train_dictionary(OWN_BYTES, t.take(chosen)), base + ordinary_end
 
-    return sorted((w for w, k in n.items() if k >= least and len(w) >= WORD and ratio(w) >= MARKED_RATIO), key=lambda w: (n[w], w))
 
+def histograms(texts: list[bytes], pairs: list[tuple]) -> np.ndarray:
+    """For each text how many of its windows have each gain: bytes by which toxic dictionaries compress them better than ordinary ones, summed over pairs."""
+    w = _Windows(texts)
+    gain = np.zeros(len(w.parts), np.int64)
+    for toxic, ordinary in pairs:
+        gain += np.array([len(ordinary.compress(x)) - len(toxic.compress(x)) for x in w.parts], np.int64)
+    place = w.of * (2 * GAINS + 1) + np.clip(gain, -GAINS, GAINS) + GAINS
+    return np.bincount(place, minlength=w.texts * (2 * GAINS + 1)).reshape(w.texts, -1)
 
-def _dictionary(size: int, samples: list[bytes]) -> bytes:
-    try:
-        return zs.train_dictionary(size, samples).as_bytes()
-    except zs.ZstdError:  # too few samples to train on: their text itself
-        return b" ".join(samples)[:size]
 
+def _evidence(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """Log of how much more frequent each gain is among the windows that make texts toxic than among ordinary ones.
 
-def _evidence(toxic: list[bytes], ordinary: list[bytes], marks: set[bytes], pair: tuple) -> np.ndarray:
-    """Log of how much more frequent each gain is among toxic texts' windows that hold a mark than among ordinary windows."""
-    counts = np.full((2, 2 * GAINS + 1), 0.5)
-    for k, texts in enumerate((ordinary[::EVIDENCE_STEP], toxic)):
-        for text in texts:
-            parts = [w for w in windows(text) if k == 0 or not marks or not marks.isdisjoint(_words(w))]
-            np.add.at(counts[k], np.clip(_gains(parts, pair), -GAINS, GAINS) + GAINS, 1)
-    share = counts / counts.sum(1, keepdims=True)
-    out = np.clip(np.log(share[1] / share[0]), -3, 8)
+    Windows of toxic texts are a mixture: what is left of them once the ordinary share is
+    taken away (estimated where gains are at most 0) are the ones that matter.
+    """
+    t, o = toxic.sum(0) + 0.5, ordinary.sum(0) + 0.5
+    t, o = t / t.sum(), o / o.sum()
+    share = min(0.99, t[: GAINS + 1].sum() / o[: GAINS + 1].sum())
+    own = np.maximum(t - share * o, 1e-3 * t) / (1 - share)
+    out = np.clip(np.log(own / o), -3, 8)
     out[GAINS:] = np.maximum.accumulate(out[GAINS:])  # a larger gain never says less
     return out
 
 
+def _features(counts: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    """Of each row of counts: sums of evidence as of a mixture, the three largest gains' evidence, the means of gains and of positive ones, large gains, windows."""
+    gains = np.arange(-GAINS, GAINS + 1)
+    n = np.maximum(counts.sum(1), 1)
+    more = np.exp(evidence) - 1
+    above = np.minimum(np.cumsum(counts[:, ::-1], axis=1), 3)
+    best = np.diff(above, axis=1, prepend=0) @ evidence[::-1]
+    top = np.where(counts.any(1), evidence[2 * GAINS - np.argmax(counts[:, ::-1] > 0, axis=1)], evidence[GAINS])
+    over = counts @ np.maximum(gains - 2 * PAIRS, 0)
+    return np.stack(
+        [
+            counts @ np.log1p(0.02 * more), counts @ np.log1p(0.2 * more), top, best, counts @ gains / n, counts @ np.maximum(gains, 0) / n,
+            over / n, np.log1p(over), np.log1p(counts[:, GAINS + 3 * PAIRS :].sum(1)), np.log1p(counts[:, GAINS + 5 * PAIRS :].sum(1)), np.log(n),
+        ], axis=1,
+    )
+
+
+def _words(text: bytes) -> list[bytes]:
+    return [w for w in _BREAK.split(text.lower()) if w]
+
+
+def sketch(text: bytes) -> int:
+    """The least hash of the text's runs of four words, which most copies share."""
+    w = _words(text)
+    return min(zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3)))
+
+
+def distinct(texts: list[bytes]) -> list[bytes]:
+    """The first text of each sketch, so that copies don't count as documents of their own."""
+    found: dict[int, bytes] = {}
+    for text in texts:
+        found.setdefault(sketch(text), text)
+    return list(found.values())
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     x = np.c_[np.ones(len(x)), x]
     w = np.zeros(x.shape[1])
@@ -140,41 +199,55 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def _fit_dictionaries(toxic: list[bytes], ordinary: list[bytes], prior: float) -> ToxicityModel:
-    """Dictionaries and evidence; both dictionaries end in bytes of one length behind a base trained on ordinary text.
+def _fold(toxic: list[bytes], ordinary: list[bytes], fold: int, folds: int, pairs: int) -> dict:
+    """Pairs of dictionaries trained without every ``folds``-th text, and the histograms of the texts left out; of all texts for a negative fold."""
+    classes = ordinary, toxic
+    if fold < 0:
+        return {"pairs": [train_pair(toxic, ordinary, seed) for seed in range(pairs)], "counts": []}
+    seen = [[t for i, t in enumerate(c) if i % folds != fold] for c in classes]
+    held = [tuple(map(_compressor, train_pair(seen[1], seen[0], seed))) for seed in range(pairs)]
+    return {"pairs": [], "counts": [histograms(c[fold::folds], held) for c in classes]}
 
-    The toxic one ends in the words that mark toxic documents, the ordinary one in noise. So ordinary
-    text compresses alike with both, and what a window gains is due to these words. Only without such
-    words is the toxic one's end trained on toxic windows. README: the cut-offs, and what trained dictionaries reach.
-    """
-    marks = _marks(toxic, ordinary)
-    own = b" " + (b" ".join(marks)[-TOXIC_BYTES:] if marks else _dictionary(TOXIC_BYTES, [w for x in toxic for w in windows(x)])) + b" "
-    plain = sorted((w for x in ordinary for w in windows(x)), key=zlib.crc32)
-    base = _dictionary(BASE_BYTES, plain[-20000:])
-    noise = np.random.default_rng(3).integers(0, 256, len(own), dtype=np.uint8).tobytes()
-    model = ToxicityModel(prior, base + own, base + noise)
-    model.evidence = _evidence(toxic, ordinary, set(marks), (_compressor(model.toxic), _compressor(model.ordinary)))
-    return model
 
+def _on_executors(spark):
+    """Runs the folds as tasks; the texts, a bounded sample, are broadcast."""
+
+    def folded(toxic, ordinary, folds: int, pairs: int) -> list[dict]:
+        sample = spark.sparkContext.broadcast((toxic, ordinary))
+
+        def run(batches):
+            for batch in batches:
+                for fold in batch.column(0).to_pylist():
+                    made = pickle.dumps(_fold(*sample.value, fold, folds, pairs))
+                    yield pa.record_batch({"fold": pa.array([fold], pa.int32()), "made": pa.array([made], pa.binary())})
+
+        try:
+            tasks = spark.range(-1, folds, 1, folds + 1).select(F.col("id").cast("int").alias("fold"))
+            return [pickle.loads(r["made"]) for r in sorted(tasks.mapInArrow(run, "fold int, made binary").collect(), key=lambda r: r["fold"])]
+        finally:
+            sample.unpersist()
+
+    return folded
 
-def train(toxic: list[bytes], ordinary: list[bytes], prior: float, folds: int = FOLDS) -> ToxicityModel:
+
+def _here(toxic, ordinary, folds: int, pairs: int) -> list[dict]:
+    return [_fold(toxic, ordinary, fold, folds, pairs) for fold in range(-1, folds)]
+
+
+def train(toxic: list[bytes], ordinary: list[bytes], prior: float, folds: int = FOLDS, pairs: int = PAIRS, folded=_here) -> ToxicityModel:
     """Calibrated on each fold by dictionaries of the others, so on texts that these haven't seen; the dictionaries that stay have seen all.
 
-    ``prior``: the share of toxic rows among all labelled ones.
+    ``prior``: the share of toxic rows among all labelled ones. With fewer texts than folds in a class the score is the prior.
+    Copies count once, so that none is both learned from and calibrated on; only where that leaves too few texts do they count.
     """
     if min(len(toxic), len(ordinary)) < folds:
         return ToxicityModel(prior)
-    keys = [[sketch(t) for t in c] for c in (toxic, ordinary)]
-    x, y = [], []
-    for fold in range(folds):
-        part = _fit_dictionaries(*(distinct(*([v for i, v in enumerate(c) if i % folds != fold] for c in pair)) for pair in zip((toxic, ordinary), keys)), prior)
-        pair = _compressor(part.toxic), _compressor(part.ordinary)
-        for label, texts in ((1.0, toxic), (0.0, ordinary)):
-            own = texts[fold::folds]
-            x += [_features(_gains(windows(t), pair), part.evidence) for t in own]
-            y += [label] * len(own)
-    model = _fit_dictionaries(distinct(toxic, keys[0]), distinct(ordinary, keys[1]), prior)
-    x, y = np.array(x), np.array(y)
+    toxic, ordinary = (few if len(few := distinct(c)) >= folds else c for c in (toxic, ordinary))
+    whole, *parts = folded(toxic, ordinary, folds, pairs)
+    plain, own = (np.concatenate([p["counts"][k] for p in parts]) for k in (0, 1))
+    model = ToxicityModel(prior, whole["pairs"], _evidence(own, plain))
+    x = _features(np.concatenate([own, plain]), model.evidence)
+    y = np.repeat([1.0, 0.0], [len(own), len(plain)])
     model.centre, model.scale = x.mean(0), x.std(0) + 1e-9
     model.weights = _logistic((x - model.centre) / model.scale, y)
     share, prior = y.mean(), min(max(prior, 1e-4), 1 - 1e-4)
@@ -182,6 +255,13 @@ def train(toxic: list[bytes], ordinary: list[bytes], prior: float, folds: int =
     return model
 
 
+def scores(texts: list[bytes], model: ToxicityModel, pairs: list[tuple]) -> np.ndarray:
+    if model.weights is None:
+        return np.full(len(texts), model.prior)
+    x = (_features(histograms(texts, pairs), model.evidence) - model.centre) / model.scale
+    return 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ model.weights[1:], -30, 30)))
+
+
 def held_out(doc_id: str):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
@@ -194,6 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     without a document count for nothing. Without both classes the score is the share of
     toxic labels (0.5 without labels).
     """
+    spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out("doc_id"))
     counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     if not counts:
@@ -211,38 +292,33 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
         for doc_id, n in size.items():
             if total + n <= sample_bytes:
                 total += n
-                ids.append(doc_id)
+                ids.append((doc_id,))
         if len(ids) < FOLDS <= len(size):
             raise ValueError(f"of {len(size)} labelled texts of class {kind} only {len(ids)} fit in sample_bytes = {sample_bytes}")
-        got = rows.where(F.col("doc_id").isin(ids)).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * most).collect() if ids else []
+        fitting = F.broadcast(spark.createDataFrame(ids, "doc_id bigint"))
+        got = rows.join(fitting, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * most).collect() if ids else []
         texts[kind] = [bytes(r["text"]) for r in got]
-    return train(texts[1], texts[0], prior)
+    return train(texts[1], texts[0], prior, folded=_on_executors(spark))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
     """docs plus ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on), which replace columns of these names.
 
     Every window of every text is compressed with each dictionary; nothing but the text counts.
-    A null or empty text has no windows and gets the score that fits no gain at all.
+    A null or empty text has no windows and gets the score of a text without any gain.
     """
-    centre, scale, weights, prior = model.centre, model.scale, model.weights, model.prior
 
     def run(batches):
-        pair = (_compressor(model.toxic), _compressor(model.ordinary)) if weights is not None else None
+        pairs = [tuple(map(_compressor, p)) for p in model.pairs]
         for batch in batches:
-            out = []
-            for text in batch.column(0):
-                if weights is None:
-                    out.append(prior)
-                    continue
-                x = (np.array(_features(_gains(windows(text.as_py() or b""), pair), model.evidence)) - centre) / scale
-                z = float(weights[0] + x @ weights[1:])
-                out.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.float64())], names=["row", "score"])
+            for part in slices(batch, "text", 1 << 20):
+                texts = [t or b"" for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(scores(texts, model, pairs), pa.float64())], names=["row", "score"])
 
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    base = docs.select(F.col("text").cast("string").cast("binary").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    scored = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, score double")
+    base = docs.select(F.col("text").cast("string").cast("binary").alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("row"))
+    schema = T.StructType([base.schema["row"], T.StructField("score", T.DoubleType())])
+    scored = base.mapInArrow(run, schema)
     return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
