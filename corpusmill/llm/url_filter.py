@@ -102,13 +102,20 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, url: str = "url") ->
     return judged.select(*_fields("page", columns, ("host", "path", "rule", "verdict")), *new)
 
 
-#: Hosts whose pages are on the list of the query below.
-LISTED_HOSTS = "casino|free-bets|cheap-pills"
+#: The list of the query below: English pages of hosts that advertise gambling, pills or trackers. Other pages of these hosts aren't listed.
+LISTED_HOSTS, LISTED_PATH = "(^|[.])(casino-win|free-bets|cheap-pills|ads-track)[.]", "^/en/"
 
 
 def block_list(pages: DataFrame) -> DataFrame:
-    """The list for the query: the URLs of pages on hosts that advertise gambling or pills."""
-    return pages.where(host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    """The list for the query, in the spelling of such lists: another scheme, capital hosts with ``www.``, a last ``/`` and a tracking argument.
+
+    So only the canonical form of a listed URL equals that of its page, and of any other page that differs in these respects.
+    """
+    url = F.col("url")
+    host, path, query = host_of(url), path_of(url), F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
+    listed = pages.where(host.rlike(LISTED_HOSTS) & path.rlike(LISTED_PATH))
+    name = F.concat(F.lit("WWW."), F.translate(F.regexp_replace(host, r"^www\.", ""), LOWER, UPPER))
+    return listed.select(F.concat(F.lit("ftp://"), name, F.regexp_replace(path, "/$", ""), F.lit("/?utm_source=list&"), query).alias("url"))
 
 
 def op9_url_filter(spark, sf_dir: str) -> DataFrame:
@@ -122,15 +129,19 @@ with u as (
   select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 h as (
   select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{UPPER}', '{LOWER}') as host,
-         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path from u),
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(coalesce(rest, ''), '^[^?#]*\\?([^#]*)', 1) as query from u),
+c as (
+  select *, case when host <> '' then regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/$', '')
+    || coalesce('?' || nullif(array_to_string(list_filter(string_split(query, '&'), lambda q: q <> '' and not regexp_matches(q, '^(utm_[^=]*|ref)(=|$)')), '&'), ''), '') end as form from h),
+l as (select distinct form as listed from c where regexp_matches(host, '{LISTED_HOSTS}') and regexp_matches(path, '{LISTED_PATH}')),
 r as (
-  select page_id, host, path, case
+  select page_id, host, path, listed, case
     when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
     when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
     when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
-    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as rule from h)
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as rule from c left join l on c.form = l.listed)
 select page_id, host, path, rule, case
   when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
-  when regexp_matches(host, '{LISTED_HOSTS}') then 'block' else 'allow' end as verdict
+  when listed is not null then 'block' else 'allow' end as verdict
 from r
 """

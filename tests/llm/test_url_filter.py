@@ -52,3 +52,27 @@ def test_sql(spark, duck, small):
 def test_main_path_has_no_python(spark, small):
     plan = u.op9_url_filter(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+SPAM = ["https://m.ads-track.example.com/en/1", "http://www.m.ads-track.example.com/en/1/?utm_source=feed", "https://m.ads-track.example.com/fr/1", "https://m.ads-track.example.com/en/2?page=2&ref=x", "https://m.ads-track.example.com/en/2?page=3", "https://other.info/en/1", "https://x.example.com/en/1", "http://casino-win.info/en/", "http://WWW.casino-win.info/en", "http://casino-win.info/en/?a=1&&utm_x"]
+
+
+def test_the_list_decides_not_the_host(spark, tmp_path):
+    """Unlisted pages of listed hosts are allowed, and other spellings of a listed URL blocked, in the query and its SQL."""
+    import duckdb
+
+    spark.createDataFrame([(i, x, None) for i, x in enumerate(URLS + SPAM)], "page_id int, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = u.op9_url_filter(spark, str(tmp_path)).toPandas()
+    assert canonical(got) == canonical(con.execute(u.OP9_SQL).df())
+    verdict = dict(zip(got.page_id, got.verdict))
+    assert [verdict[len(URLS) + i] for i in range(len(SPAM))] == ["block", "block", "allow", "block", "block", "allow", "allow", "block", "block", "block"]
+
+
+def test_sql_on_more_pages(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create view pages as select * from read_parquet('/root/testdata/sf0.1/pages.parquet')")
+    assert canonical(u.op9_url_filter(spark, "/root/testdata/sf0.1").toPandas()) == canonical(con.execute(u.OP9_SQL).df())
