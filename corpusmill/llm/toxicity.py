@@ -55,7 +55,7 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
-    params = zs.ZstdCompressionParameters(strategy=zs.STRATEGY_BTOPT, min_match=3, window_log=17, hash_log=16, chain_log=17, search_log=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+    params = zs.ZstdCompressionParameters(strategy=zs.STRATEGY_DFAST, min_match=4, window_log=17, hash_log=17, chain_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=params)
     return zs.ZstdCompressor(compression_params=params, dict_data=held)
