@@ -21,7 +21,7 @@ WINDOW = 64
 BASE_BYTES, OWN_BYTES = 1 << 15, 1 << 12
 SEGMENT, RUN = 16, 8  # of the training: bytes of a segment that a dictionary takes, and of the strings whose frequency chooses it
 PAIRS = 5  # pairs of dictionaries whose gains are added
-ROUNDS, SHARE, LEAST_GAIN = 6, 0.03, 2  # toxic windows are chosen in so many rounds: this share of each text's, if they gain so many bytes
+ROUNDS, SHARE, LEAST_GAIN = 6, 0.05, 2  # toxic windows are chosen in so many rounds: this share of each text's, if they gain so many bytes
 GAINS = 30  # sums of gains from -GAINS to GAINS bytes are told apart
 TOXIC_ROWS, ORDINARY_ROWS, SAMPLE_BYTES = 2000, 4000, 24 << 20
 FOLDS = 3
