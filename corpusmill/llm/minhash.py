@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, buffer_of, components, drop, ids_of, ngram_hashes, saved, slices, word_hashes
 
 BANDS, ROWS = 56, 7
-MEMBERS, SHINGLES = 400, 400_000  # what a comparing task holds of a group, twice at most
+MEMBERS, SHINGLES = 128, 400_000  # what a comparing task holds of a group, twice at most
+SLACK = 1e-5  # for distances kept in single precision
+HUBS, HUB_SHINGLES = 8, 1_600_000  # members of a large group that all others are compared with, and what they hold together
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n_words: int) -> list[np.ndarray]:
@@ -136,6 +139,8 @@ def _member_sets(n_words: int, bands: int, rows: int, seed: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(*buffer_of(part.column(2)), n_words)
+                full = pa.array([i for i, s in enumerate(sets) if len(s)], pa.int64())  # a repeated doc_id may have an empty text too
+                part, sets = part.take(full), [s for s in sets if len(s)]
                 marks = minima(sets, bands * rows, seed)
                 yield pa.record_batch(
                     {
@@ -151,7 +156,7 @@ def _member_sets(n_words: int, bands: int, rows: int, seed: int):
 
 
 class _Group:
-    """Rows of one group under comparison: signatures choose pairs, full sets confirm them."""
+    """Rows of one group under comparison: distances from hubs and signatures choose pairs, full sets confirm them."""
 
     def __init__(self, table: pa.Table, percent: int, count: int):
         share = percent / 100
@@ -160,17 +165,23 @@ class _Group:
         self.sets = [np.frombuffer(x, "<u8") for x in table["set"].to_pylist()]
         self.sizes = np.array([len(s) for s in self.sets])
         self.marks = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u4").reshape(len(self.ids), count)
+        self.far = np.array(table["far"].to_pylist(), np.float32) if "far" in table.column_names else None
 
     def likely(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Those of the others that row i may link with, likeliest first."""
+        """Those of the others that row i may link with, likeliest first. Jaccard distance is a metric: what links is alike in its distance from any hub."""
         n = self.sizes[i]
         others = others[100 * np.minimum(self.sizes[others], n) >= self.percent * np.maximum(self.sizes[others], n)]
+        if self.far is not None:
+            others = others[(np.abs(self.far[others] - self.far[i]) <= 1 - self.percent / 100 + SLACK).all(1)]
         alike = (self.marks[others] == self.marks[i]).mean(1) if len(others) else np.zeros(0)
         good = np.flatnonzero(alike >= self.floor)
         return others[good[np.argsort(-alike[good], kind="stable")]]
 
+    def common(self, i: int, j: int) -> int:
+        return len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+
     def linked(self, i: int, j: int) -> bool:
-        both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+        both = self.common(i, j)
         return 100 * both >= self.percent * (self.sizes[i] + self.sizes[j] - both)
 
     def forest(self, pairs, joined: np.ndarray):
@@ -213,22 +224,50 @@ def _whole_groups(percent: int, count: int):
     return run
 
 
-def _to_hub(percent: int, count: int):
-    """A part of a large group and the group's hub: each row with b, the hub it links with, or null."""
+def _to_hubs(percent: int, count: int):
+    """A part of a large group and the group's hubs (role: their number from 1 on, 0 for the part's rows).
+
+    Each row with its distance from each hub (HUBS numbers, 0 where there are fewer hubs), the hubs that
+    it links with as ids, and as bits of a mask.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        group = _Group(table, percent, count)
-        hub = table["role"].to_numpy() == 1
-        hubs, rows = np.flatnonzero(hub), np.flatnonzero(~hub)
-        good = [any(group.linked(i, j) for j in group.likely(i, hubs).tolist()) for i in rows.tolist()]
+        group, role = _Group(table, percent, count), table["role"].to_numpy()
+        rows, hubs = np.flatnonzero(role == 0), np.flatnonzero(role > 0)
+        far, masks, ids = [], [], []
+        for i in rows.tolist():
+            away, mask = [0.0] * HUBS, 0
+            for h in hubs.tolist():
+                both = group.common(i, h)
+                union = int(group.sizes[i] + group.sizes[h]) - both
+                away[role[h] - 1] = 1 - both / union
+                mask |= (100 * both >= percent * union) << int(role[h] - 1)
+            far.append(away)
+            masks.append(mask)
+            ids.append([int(group.ids[h]) for h in hubs.tolist() if mask >> int(role[h] - 1) & 1])
         out = table.take(pa.array(rows)).select(["node", "root", "n", "set", "signature"])
-        return out.append_column("b", pa.array([int(group.ids[hubs[0]]) if g else None for g in good], pa.int64()))
+        for name, column in (("far", pa.array(far, pa.list_(pa.float32()))), ("mask", pa.array(masks, pa.int32())), ("hubs", pa.array(ids, pa.list_(pa.int64())))):
+            out = out.append_column(name, column)
+        return out
 
     return run
 
 
+def _main_hubs(key: tuple, table: pa.Table) -> pa.Table:
+    """Of a group the hubs, as bits, that are joined through members into the largest tree. table: root, mask, members (a row a mask at most)."""
+    trees: list[list] = []
+    for mask, members in zip(table["mask"].to_pylist(), table["members"].to_pylist()):
+        apart = [t for t in trees if not t[0] & mask]
+        for t in trees:
+            if t[0] & mask:
+                mask, members = mask | t[0], members + t[1]
+        trees = [*apart, [mask, members]] if mask else trees
+    best = max(trees, key=lambda t: (t[1], t[0]), default=[0, 0])
+    return pa.table({"root": pa.array([key[0].as_py()], pa.int64()), "main": pa.array([best[0]], pa.int32())})
+
+
 def _rest_with_all(percent: int, count: int):
-    """Some rows that don't link with the hub (role 2), and a part of all rows (role 1: linked with the hub; 0: not)."""
+    """Some rows out of the main tree (role 2), and a part of all rows (role 1: in the tree; 0: not)."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         group = _Group(table, percent, count)
@@ -239,6 +278,56 @@ def _rest_with_all(percent: int, count: int):
     return run
 
 
+def _parts(df: DataFrame, *keys: str, name: str) -> DataFrame:
+    """Into how many parts the rows of each key go, so that none holds over MEMBERS rows or much over SHINGLES shingles."""
+    size = F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n") / SHINGLES)).cast("int")
+    return df.groupBy(*keys).agg(size.alias(name))
+
+
+def _dealt(seed: int, parts: str) -> F.Column:
+    return F.pmod(F.xxhash64("node", "n", F.lit(seed)), F.col(parts)).cast("int")
+
+
+def _every(parts: str) -> F.Column:
+    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+
+def _large_groups(large: DataFrame, percent: int, count: int) -> DataFrame:
+    """Links (a, b) of groups too large for a task, as many as join their components. large: rows of sets, with ``parts``.
+
+    HUBS members of each group meet all of it, in parts of bounded size. Of the trees this makes the largest is
+    taken for joined; only rows outside of it meet others, and of these only such as have a like size and a like
+    distance from the first hub (rings and size classes as wide as a link can reach, so that neighbours are enough).
+    """
+    columns = ["node", "root", "n", "set", "signature"]
+    order = Window.partitionBy("root").orderBy(F.xxhash64("node", "n"), "node", "n")
+    hubs = large.withColumn("role", F.row_number().over(order)).where(F.col("role") <= HUBS)
+    held = F.sum("n").over(Window.partitionBy("root").orderBy("role"))
+    hubs = hubs.withColumn("held", held).where((F.col("role") == 1) | (F.col("held") <= HUB_SHINGLES))
+    members = large.select(*columns, F.lit(0).alias("role"), _dealt(0, "parts").alias("part"))
+    members = members.unionByName(hubs.select(*columns, "role", _every("parts").alias("part")))
+    # dealt by all keys here and below: Spark would leave the parts of a group together where a join has dealt them by root
+    shape = "node bigint, root bigint, n bigint, set binary, signature binary, far array<float>, mask int, hubs array<bigint>"
+    met = saved(members.repartition("root", "part").groupBy("root", "part").applyInArrow(_to_hubs(percent, count), shape), "met")
+    links = met.select(F.col("node").alias("a"), F.explode("hubs").alias("b"))
+    main = met.groupBy("root", "mask").agg(F.count("*").alias("members")).groupBy("root").applyInArrow(_main_hubs, "root bigint, main int")
+
+    width, step = max(0.01, 1 - percent / 100 + SLACK), max(0.01, math.log(100 / percent) + SLACK)
+    ring, size = F.floor(F.col("far")[0] / width).cast("int"), F.floor(F.log(F.col("n")) / step).cast("int")
+    met = met.join(main, "root").select(*columns, "far", F.col("mask").bitwiseAND(F.col("main")).alias("joined"), ring.alias("ring"), size.alias("size"))
+    rest = met.where("joined = 0")
+    near = F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1)]))
+    asked = rest.withColumn("x", near).withColumn("ring", F.col("ring") + F.col("x")).withColumn("x", near).withColumn("size", F.col("size") + F.col("x"))
+    cell = ["root", "ring", "size"]
+    parts, rest_parts = _parts(met, *cell, name="parts"), _parts(asked, *cell, name="rest_parts")
+    alls = met.join(parts, cell).join(rest_parts, cell)  # cells without rest drop out
+    asked = asked.join(rest_parts, cell).join(parts, cell)
+    alls = alls.select(*cell, "node", "n", "set", "signature", "far", (F.col("joined") != 0).cast("int").alias("role"), _dealt(0, "parts").alias("part"), _every("rest_parts").alias("rest_part"))
+    asked = asked.select(*cell, "node", "n", "set", "signature", "far", F.lit(2).alias("role"), _dealt(1, "rest_parts").alias("rest_part"), _every("parts").alias("part"))
+    keys = [*cell, "part", "rest_part"]
+    return links.unionByName(alls.unionByName(asked).repartition(*keys).groupBy(*keys).applyInArrow(_rest_with_all(percent, count), "a bigint, b bigint"))
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, seed: int = 11) -> DataFrame:
     """Near-duplicate components of documents by MinHash.
 
@@ -256,8 +345,9 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     Copies fold into one class first. Buckets link their members to their smallest in a star,
     at first within each task, so that a hot bucket moves one row per task. The groups
     reached that way are compared by signature first and full sets then; only a spanning
-    forest goes out. A group too large for a task meets its hub, the smallest member, in parts of
-    bounded size; only members that don't link with the hub meet all others, again in parts.
+    forest goes out. A group too large for a task meets a few hubs among its members, in parts of
+    bounded size; only members that these don't join into one tree meet others, again in parts
+    (see _large_groups).
     """
     count = bands * rows
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -278,28 +368,10 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
 
     sets = base.join(coarse.select(F.col("node").alias("doc_id"), "root").hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "root", "text")
     sets = saved(sets.mapInArrow(_member_sets(n_words, bands, rows, seed), "node bigint, root bigint, n bigint, set binary, signature binary"), "sets")
-    columns = ["node", "root", "n", "set", "signature"]
-    parts_of = F.greatest(F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("total") / SHINGLES)).cast("int")
-    totals = sets.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total")).select("root", parts_of.alias("parts"))
-    sized = sets.join(totals, "root")
-    small = sized.where("parts = 1").select(*columns, F.pmod(F.xxhash64("root"), F.lit(4 * parts)).alias("cell"))
+    sized = sets.join(_parts(sets, "root", name="parts"), "root")
+    small = sized.where("parts = 1").select("node", "root", "n", "set", "signature", F.pmod(F.xxhash64("root"), F.lit(4 * parts)).alias("cell"))
     links = small.groupBy("cell").applyInArrow(_whole_groups(percent, count), "a bigint, b bigint")
-    large = sized.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
-    # dealt by all keys below: Spark would leave the parts of a group together where a join has dealt them by root
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    hubs = large.where("node = root").withColumn("part", every_part)
-    shape = "node bigint, root bigint, n bigint, set binary, signature binary"
-    met = large.where("node <> root").withColumn("role", F.lit(0)).unionByName(hubs.withColumn("role", F.lit(1)))
-    met = saved(met.select(*columns, "role", "part").repartition("root", "part").groupBy("root", "part").applyInArrow(_to_hub(percent, count), f"{shape}, b bigint"), "met")
-    links = links.unionByName(met.where("b is not null").select(F.col("node").alias("a"), "b"))
-    rest = met.where("b is null")
-    left = rest.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("total")).select("root", parts_of.alias("rest_parts"))
-    again = met.join(totals, "root").join(left, "root").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
-    every_rest = F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1))
-    alls = again.select(*columns, "part", every_rest.alias("rest_part"), F.col("b").isNotNull().cast("int").alias("role"))
-    asked = again.where("b is null").withColumn("rest_part", F.pmod(F.xxhash64("node", "n", F.lit(1)), F.col("rest_parts")).cast("int"))
-    asked = asked.select(*columns, every_part.alias("part"), "rest_part", F.lit(2).alias("role"))
-    links = links.unionByName(alls.unionByName(asked).repartition("root", "part", "rest_part").groupBy("root", "part", "rest_part").applyInArrow(_rest_with_all(percent, count), "a bigint, b bigint"))
+    links = links.unionByName(_large_groups(sized.where("parts > 1"), percent, count))
     found = components(links)
     drop(sets)
     ids = reps.select("class", "rep").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").select("class", "rep", F.coalesce("root", "rep").alias("root"))

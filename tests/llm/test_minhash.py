@@ -67,6 +67,38 @@ def test_a_group_whose_hub_is_an_outlier(spark, monkeypatch):
     assert got == brute(rows, 4) and len({g[2] for g in got}) == 1
 
 
+@pytest.mark.parametrize("hubs", [1, 8])
+def test_large_groups_of_many_trees(spark, monkeypatch, hubs):
+    """Variants of one template that don't link with each other, clusters among them, and texts much longer and shorter."""
+    monkeypatch.setattr(minhash, "MEMBERS", 6)
+    monkeypatch.setattr(minhash, "HUBS", hubs)
+    rng = random.Random(9)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for c in range(25):
+        own = [w if rng.random() > 0.03 else f"c{c}_{i}" for i, w in enumerate(base)]
+        for k in range(rng.choice([1, 1, 2, 6])):
+            words = [w if rng.random() > 0.006 else f"v{c}_{k}_{i}" for i, w in enumerate(own)]
+            rows.append((len(rows) * 7 % 1000, " ".join(words[: rng.choice([150, 150, 135, 125, 110])])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = result(minhash.near_duplicates(docs, 4))
+    assert got == brute(rows, 4) and 3 < len({g[2] for g in got}) < len(rows)
+
+
+def test_main_hubs():
+    import pyarrow as pa
+
+    def main(rows):
+        return minhash._main_hubs((pa.scalar(5),), pa.table({"mask": pa.array([m for m, _ in rows], pa.int32()), "members": [n for _, n in rows]}))["main"][0].as_py()
+
+    assert main([(0, 900), (1, 10), (6, 8), (4, 3), (3, 1)]) == 7 and main([(1, 4), (2, 3), (4, 2)]) == 1 and main([(0, 7)]) == 0
+
+
+def test_a_repeated_id_with_an_empty_text(spark):
+    text = "a b c d e f g h"
+    docs = spark.createDataFrame([(5, ""), (5, text), (6, None), (6, text), (5, " ")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(docs).collect()} >= {(5, 5), (6, 5)}
+
+
 def test_odd_rows(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(None, text, 1), (None, text, 2), (5, text, 3), (5, text, 4), (7, text, 5)], "doc_id bigint, text string, root int")
