@@ -7,13 +7,14 @@ import datetime
 import gzip
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts_for, release, saved, shared_dir
+from .common import parts_for, release, saved, shared_dir, slices
 
 RUN_ROWS = 200_000  # captures that one merging task gets, about
 
@@ -34,8 +35,12 @@ def url_key(url: str) -> str:
 
 # ---------------------------------------------------------------- archives
 
+ARCHIVE_BYTES = 16 << 20  # of an archive, unless one record is longer
+MEMBER_BYTES = 8 << 20  # of a record that one gzip member holds
+CLOSING = "\0"  # the highest byte of a member's length, which is its last four bytes
 
-def _record(page_id, url, digest, kind, refers_to, seconds, payload: bytes) -> str:
+
+def _record(page_id, url, digest, kind, refers_to, seconds, payload: bytes) -> bytes:
     when = datetime.datetime.fromtimestamp(seconds, datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = payload if kind == "response" else b""
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {when}"]
@@ -45,20 +50,36 @@ def _record(page_id, url, digest, kind, refers_to, seconds, payload: bytes) -> s
     if kind == "revisit":
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
-    return "\r\n".join(head) + "\r\n\r\n" + body.decode("utf-8", "replace")
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
-def _records(batches):
-    for batch in batches:
-        out = []
-        for page_id, url, html, first, least, at in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            payload = html or b""
-            kind = "response" if first else "revisit"
-            out.append(_record("null" if page_id is None else page_id, url, base32_sha1(payload), kind, least, at, payload))
-        yield pa.record_batch({"value": pa.array(out, pa.string())})
+def _members(record: bytes) -> bytes:
+    """A record as gzip members, one unless it is very long."""
+    return b"".join(gzip.compress(record[i : i + MEMBER_BYTES], 6, mtime=0) for i in range(0, len(record), MEMBER_BYTES))
+
+
+def _archives(archive_bytes: int):
+    """Rows of about ``archive_bytes`` bytes of whole records each, without their last byte, which is CLOSING."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "html"):
+                for page_id, url, html, digest, first, least, at in zip(*(part.column(i).to_pylist() for i in range(7))):
+                    kind, sha = "response" if first else "revisit", base64.b32encode(bytes.fromhex(digest)).decode()
+                    record = _members(_record("null" if page_id is None else page_id, url, sha, kind, least, at, html or b""))
+                    if held and size + len(record) > archive_bytes:
+                        yield pa.record_batch({"value": pa.array([b"".join(held)[:-1]], pa.binary())})
+                        held, size = [], 0
+                    held.append(record)
+                    size += len(record)
+        if held:
+            yield pa.record_batch({"value": pa.array([b"".join(held)[:-1]], pa.binary())})
+
+    return run
 
 
-def write_archives(pages: DataFrame, least_bytes: int = 0, file_rows: int = 20_000) -> str:
+def write_archives(pages: DataFrame, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> str:
     """Write a WARC record per page and return the archives' folder.
 
     pages: page_id, url, html; others are not read. Of records with equal payloads of at
@@ -68,33 +89,60 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, file_rows: int = 20_0
     response among its like only; a null url has no target line; a null html is empty.
     A capture's time is page_id seconds into 2024.
 
-    Spark's text writer makes the files (gzip, through the file system that the folder is
-    on): a record is UTF-8 text and ends in an empty line, the writer's line separator.
+    Each record is a gzip member of its own (a record over MEMBER_BYTES several), so that it can be read
+    from its offset. An archive closes before it passes ``archive_bytes``. Spark's text writer makes the
+    files, through the file system that the folder is on: one row is one archive, and the writer's
+    line separator is the archive's last byte. That byte is the highest of a length under 16 MB, so always zero.
     """
     payload = F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b""))
     base = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"), F.sha1(payload).alias("digest"))
     least = base.where("page_id is not null").groupBy("digest").agg(F.min("page_id").alias("least"))
     rows = base.join(least, "digest", "left")
     first = F.col("least").isNull() | F.coalesce(F.col("page_id") == F.col("least"), F.lit(False)) | (F.octet_length("html") < least_bytes)
-    records = rows.select("page_id", "url", "html", first.alias("first"), "least", (F.lit(1704067200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))).alias("at"))
+    records = rows.select("page_id", "url", "html", "digest", first.alias("first"), "least", (F.lit(1704067200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))).alias("at"))
     path = f"{shared_dir(pages.sparkSession)}/warc"
-    records.mapInArrow(_records, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_rows).text(path)
+    archives = records.mapInArrow(_archives(archive_bytes), "value binary").select(F.col("value").cast("string").alias("value"))
+    archives.write.option("lineSep", CLOSING).option("compression", "none").option("maxRecordsPerFile", 1).text(path)
     release(pages.sparkSession)
     return path
 
 
+def gzip_members(data: bytes, step: int = 1 << 16):
+    """(offset, content) of each gzip member, decompressed one at a time."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        reader, out, to = zlib.decompressobj(31), [], at
+        while not reader.eof:
+            if to >= len(view):
+                raise ValueError(f"the gzip member at byte {at} is cut off")
+            out.append(reader.decompress(view[to : to + step]))
+            to = min(to + step, len(view))
+        yield at, b"".join(out)
+        at = to - len(reader.unused_data)
+
+
 def parse_archive(data: bytes):
-    """(offset, header fields, body) of each record of an archive's bytes."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = dict(x.split(": ", 1) for x in lines[1:])
-        size = int(fields["Content-Length"])
-        yield at, fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+    """(offset of the member it begins in, header fields, body) of each record of a compressed archive."""
+    held, first = bytearray(), 0
+    for at, content in gzip_members(data):
+        first = first if held else at
+        held += content
+        while held:
+            end = held.find(b"\r\n\r\n")
+            if end < 0:
+                break
+            lines = held[:end].decode().split("\r\n")
+            if not lines[0].startswith("WARC/"):
+                raise ValueError(f"no WARC record in the member at byte {first}")
+            fields = dict(x.split(": ", 1) for x in lines[1:])
+            to = end + 4 + int(fields["Content-Length"])
+            if len(held) < to + 4:
+                break
+            yield first, fields, bytes(held[end + 4 : to])
+            del held[: to + 4]
+            first = at
+    if held:
+        raise ValueError(f"the record at byte {first} is cut off")
 
 
 CAPTURE = "page_id bigint, urlkey string, captured_at bigint, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, archive string, record_offset bigint"
@@ -104,7 +152,7 @@ def _captures(batches):
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             rows = []
-            for at, fields, body in parse_archive(gzip.decompress(content)):
+            for at, fields, body in parse_archive(content):
                 page = fields["WARC-Record-ID"][10:-1]
                 kind = fields["WARC-Type"]
                 digest = fields["WARC-Payload-Digest"][5:]
@@ -118,8 +166,8 @@ def _captures(batches):
 
 
 def read_archives(spark, path: str) -> DataFrame:
-    """One row per record, in CAPTURE's columns. Each archive is read as one value, so archives are bounded by rows when they are written."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content").mapInArrow(_captures, CAPTURE)
+    """One row per record, in CAPTURE's columns; record_offset: of the gzip member that it begins in. An archive is one value of bounded size, and its records are decompressed one by one."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").mapInArrow(_captures, CAPTURE)
 
 
 # ---------------------------------------------------------------- index merge

@@ -60,3 +60,42 @@ def test_query(spark, small):
         assert (r.payload_bytes, r.payload_digest) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode())
         assert (r.record_type, None if r.refers_to != r.refers_to else r.refers_to) == (("response", None) if first[h or ""] == p else ("revisit", first[h or ""]))
     assert len(got) == len(pages)
+
+
+def test_members_are_read_one_by_one():
+    import gzip
+    import zlib
+
+    import pytest
+
+    records = [warc._record(i, f"http://a/{i}", "D", "response", None, 0, bytes([65 + i]) * n) for i, n in enumerate([0, 10, 200_000, 3])]
+    apart = b"".join(map(warc._members, records))
+    got = list(warc.parse_archive(apart))
+    assert [b for _, _, b in got] == [bytes([65 + i]) * n for i, n in enumerate([0, 10, 200_000, 3])]
+    for (at, _, _), record in zip(got, records):  # each offset leads to its record
+        assert zlib.decompressobj(31).decompress(apart[at:]) == record
+    together = gzip.compress(b"".join(records))
+    assert [(f["WARC-Record-ID"], b) for _, f, b in warc.parse_archive(together)] == [(f["WARC-Record-ID"], b) for _, f, b in got]
+    for cut in (apart[:-1], apart[:-30], warc._members(records[2][:-8])):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.parse_archive(cut))
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    """300 MB of pages that don't compress much, a record of several members among them."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 1 << 20)
+    noise = F.concat(*[F.sha2(F.concat("id", F.lit(f"-{i}")), 512) for i in range(64)])
+    pages = spark.range(75).select(F.col("id").alias("page_id"), F.lit("http://a.org/").alias("url"), F.repeat(noise, 512).alias("html"))
+    huge = spark.range(1).select(F.lit(1000).alias("page_id"), F.lit("http://b.org/").alias("url"), F.repeat(F.lit("größe"), 1_000_000).alias("html"))
+    path = warc.write_archives(pages.unionByName(huge), archive_bytes=200_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length", "content").collect()
+    assert len(files) > 5
+    for f in files:
+        parts = [at for at, _ in warc.gzip_members(bytes(f["content"]))]
+        records = {at for at, _, _ in warc.parse_archive(bytes(f["content"]))}
+        assert f["length"] <= 200_000 or len(records) == 1
+        assert len(parts) >= len(records)
+    got = warc.read_archives(spark, path)
+    assert got.agg(F.count("*"), F.sum("payload_bytes")).first() == (76, 75 * 64 * 128 * 512 + 7_000_000)
