@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, buffer_of, parts_for, slices, word_hashes
+from .common import U64, buffer_of, drop, parts_for, saved, slices, word_hashes
 
 SEED_SHARE = 5  # a copy is looked at once it holds one in so many of the words that it must hold
 MATCH, MISMATCH, GAP = 2, 1, 1
@@ -183,10 +183,25 @@ def _passages(words, starts, at, doc, place, many, seeds: Seeds):
                 yield d, i, v, w
 
 
+def _copy_at(item: np.ndarray, passage: np.ndarray) -> int:
+    """Where the passage first holds the item word for word, or -1."""
+    at = np.flatnonzero(passage[: max(0, len(passage) - len(item) + 1)] == item[0])
+    for k in (len(item) - 1, len(item) // 2, len(item) // 3):
+        at = at[passage[at + k] == item[k]]
+    return next((i for i in at.tolist() if np.array_equal(passage[i : i + len(item)], item)), -1)
+
+
 def _aligned(words, candidates: list, seeds: Seeds, score: float):
-    """(document, item, score, first word, end word) of each candidate that reaches the score."""
+    """(document, item, score, first word, end word) of each candidate that reaches the score. Whole copies need no alignment: nothing scores more, and the first one counts."""
     own = [seeds.words[seeds.starts[i] : seeds.starts[i + 1]] for _, i, _, _ in candidates]
-    order = sorted(range(len(candidates)), key=lambda k: candidates[k][3] - candidates[k][2])
+    order = []
+    for k in sorted(range(len(candidates)), key=lambda k: candidates[k][3] - candidates[k][2]):
+        d, i, x, y = candidates[k]
+        at = _copy_at(own[k], words[x:y])
+        if at < 0:
+            order.append(k)
+        else:
+            yield d, i, 1.0, x + at, x + at + len(own[k])
     while order:
         size, width = 0, 0
         while size < len(order) and size * (width := candidates[order[size]][3] - candidates[order[size]][2]) <= CELLS:
@@ -242,7 +257,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, benc
     column of docs named ``leaks`` is replaced.
 
     Items are broadcast in chunks of ``benchmark_bytes`` of text at most (or one longer item).
-    Documents are never shuffled; each chunk reads them to count its words and passes them on.
+    Documents are never shuffled; each chunk reads them to count its words and passes them on. All chunks but
+    the last are jobs of their own, which write what they found with the documents: a
+    chunk's broadcast is gone before the next one's is made.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").cast("binary").alias("text")).where("octet_length(text) > 0").distinct()
@@ -254,12 +271,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, benc
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk)
         rows = sorted(((r[0], bytes(r[1])) for r in part.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         held = spark.sparkContext.broadcast(make_seeds(docs, rows, score))
-        out = out.mapInArrow(_search(held, score, schema.names), schema)
+        found = out.mapInArrow(_search(held, score, schema.names), schema)
+        if chunk < chunks - 1:
+            found = saved(found, "leaks")
+            drop(out)
+            held.destroy()
+        out = found
     return out.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "leaks"], "leaks")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFrame:
-    """docs without those that hold a copy of a test item; see find_leaks."""
+    """docs without those that hold a copy of a test item; see find_leaks. A column named ``leaks`` goes."""
     kept = find_leaks(docs, benchmark, score).where(F.size("leaks") == 0)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns if c != "leaks"])
 
