@@ -245,7 +245,7 @@ def _to_hubs(percent: int, count: int):
             far.append(away)
             masks.append(mask)
             ids.append([int(group.ids[h]) for h in hubs.tolist() if mask >> int(role[h] - 1) & 1])
-        out = table.take(pa.array(rows)).select(["node", "root", "n", "set", "signature"])
+        out = table.take(pa.array(rows)).select(["node", "root", "n", "set", "signature", "part"])
         for name, column in (("far", pa.array(far, pa.list_(pa.float32()))), ("mask", pa.array(masks, pa.int32())), ("hubs", pa.array(ids, pa.list_(pa.int64())))):
             out = out.append_column(name, column)
         return out
@@ -292,29 +292,38 @@ def _every(parts: str) -> F.Column:
     return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
 
-def _large_groups(large: DataFrame, percent: int, count: int) -> DataFrame:
-    """Links (a, b) of groups too large for a task, as many as join their components. large: rows of sets, with ``parts``.
+def _hubs(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Of each group of several parts HUBS members at most, which hold HUB_SHINGLES or are one: root, node, n, mark, role from 1 on."""
+    share = F.pmod(F.xxhash64(F.lit("hub"), "node", "n", "mark"), F.lit(HUBS))
+    one = F.min(F.struct(F.xxhash64("node", "n", "mark").alias("h"), "node", "n", "mark")).alias("x")
+    few = sets.groupBy("root", share.alias("share")).agg(one).join(parts.where("parts > 1"), "root")
+    order = Window.partitionBy("root").orderBy("x")
+    few = few.select("root", "x.node", "x.n", "x.mark", F.row_number().over(order).alias("role"), F.sum("x.n").over(order).alias("held"))
+    return few.where((F.col("role") == 1) | (F.col("held") <= HUB_SHINGLES)).drop("held")
+
+
+def _large_groups(large: DataFrame, hubs: DataFrame, percent: int, count: int) -> DataFrame:
+    """Links (a, b) of groups too large for a task, as many as join their components. large: rows of sets, with ``parts``; hubs: see _hubs.
 
     HUBS members of each group meet all of it, in parts of bounded size. Of the trees this makes the largest is
     taken for joined; only rows outside of it meet others, and of these only such as have a like size and a like
     distance from the first hub (rings and size classes as wide as a link can reach, so that neighbours are enough).
     """
     columns = ["node", "root", "n", "set", "signature"]
-    order = Window.partitionBy("root").orderBy(F.xxhash64("node", "n"), "node", "n")
-    hubs = large.withColumn("role", F.row_number().over(order)).where(F.col("role") <= HUBS)
-    held = F.sum("n").over(Window.partitionBy("root").orderBy("role"))
-    hubs = hubs.withColumn("held", held).where((F.col("role") == 1) | (F.col("held") <= HUB_SHINGLES))
+    hubs = large.join(hubs, ["root", "node", "n", "mark"])
     members = large.select(*columns, F.lit(0).alias("role"), _dealt(0, "parts").alias("part"))
     members = members.unionByName(hubs.select(*columns, "role", _every("parts").alias("part")))
     # dealt by all keys here and below: Spark would leave the parts of a group together where a join has dealt them by root
-    shape = "node bigint, root bigint, n bigint, set binary, signature binary, far array<float>, mask int, hubs array<bigint>"
+    shape = "node bigint, root bigint, n bigint, set binary, signature binary, part int, far array<float>, mask int, hubs array<bigint>"
     met = saved(members.repartition("root", "part").groupBy("root", "part").applyInArrow(_to_hubs(percent, count), shape), "met")
     links = met.select(F.col("node").alias("a"), F.explode("hubs").alias("b"))
     main = met.groupBy("root", "mask").agg(F.count("*").alias("members")).groupBy("root").applyInArrow(_main_hubs, "root bigint, main int")
 
     width, step = max(0.01, 1 - percent / 100 + SLACK), max(0.01, math.log(100 / percent) + SLACK)
     ring, size = F.floor(F.col("far")[0] / width).cast("int"), F.floor(F.log(F.col("n")) / step).cast("int")
-    met = met.join(main, "root").select(*columns, "far", F.col("mask").bitwiseAND(F.col("main")).alias("joined"), ring.alias("ring"), size.alias("size"))
+    whole = met.groupBy("root").agg(F.max("part").alias("last"))
+    main = main.join(whole, "root").select("root", "main", F.explode(F.sequence(F.lit(0), "last")).alias("part"))  # a row for each part, as a group's rows may be many
+    met = met.join(main, ["root", "part"]).select(*columns, "far", F.col("mask").bitwiseAND(F.col("main")).alias("joined"), ring.alias("ring"), size.alias("size"))
     rest = met.where("joined = 0")
     near = F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1)]))
     asked = rest.withColumn("x", near).withColumn("ring", F.col("ring") + F.col("x")).withColumn("x", near).withColumn("size", F.col("size") + F.col("x"))
@@ -367,13 +376,15 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     drop(local)
 
     sets = base.join(coarse.select(F.col("node").alias("doc_id"), "root").hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "root", "text")
-    sets = saved(sets.mapInArrow(_member_sets(n_words, bands, rows, seed), "node bigint, root bigint, n bigint, set binary, signature binary"), "sets")
-    sized = sets.join(_parts(sets, "root", name="parts"), "root")
+    kept_sets = saved(sets.mapInArrow(_member_sets(n_words, bands, rows, seed), "node bigint, root bigint, n bigint, set binary, signature binary"), "sets")
+    sets = kept_sets.withColumn("mark", F.xxhash64("set"))
+    group_parts = _parts(sets, "root", name="parts")
+    sized = sets.join(group_parts, "root")
     small = sized.where("parts = 1").select("node", "root", "n", "set", "signature", F.pmod(F.xxhash64("root"), F.lit(4 * parts)).alias("cell"))
     links = small.groupBy("cell").applyInArrow(_whole_groups(percent, count), "a bigint, b bigint")
-    links = links.unionByName(_large_groups(sized.where("parts > 1"), percent, count))
+    links = links.unionByName(_large_groups(sized.where("parts > 1"), _hubs(sets, group_parts), percent, count))
     found = components(links)
-    drop(sets)
+    drop(kept_sets)
     ids = reps.select("class", "rep").join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").select("class", "rep", F.coalesce("root", "rep").alias("root"))
     out = described.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
     return out.select(
