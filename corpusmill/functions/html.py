@@ -9,16 +9,37 @@ from html.parser import HTMLParser
 HIDDEN = frozenset("script style noscript template svg head nav aside footer form button select iframe".split())
 BLOCKS = frozenset("address article blockquote br dd div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr li main ol p pre section table tr ul header".split())
 CELLS = frozenset(("td", "th"))
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
+OUTER = frozenset("body html main article".split())  # none of these stands in navigation or a form, so one that opens or closes ends what was left open
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
 class _Text(HTMLParser):
+    """Text and the elements that are open. What hides text ends with its own end tag, with that of an element around it,
+    and where something opens that can't stand in it: a head ends at anything but its own kinds of elements."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
+        self.open: list[str] = []
         self.hidden: list[str] = []
 
+    def _opened(self, tag):
+        while self.hidden and (self.hidden[-1] == "head" and tag not in IN_HEAD or tag in OUTER and self.hidden[-1] not in ("svg", "template", "noscript")):
+            self.hidden.pop()
+        if tag not in VOID:
+            self.open.append(tag)
+
+    def _closed(self, tag):
+        """The hidden elements inside of the element that closes end with it."""
+        if tag not in self.open:
+            return
+        while (inner := self.open.pop()) != tag:
+            if self.hidden and self.hidden[-1] == inner:
+                self.hidden.pop()
+
     def handle_starttag(self, tag, attrs):
+        self._opened(tag)
         if tag in HIDDEN and tag not in VOID:
             self.hidden.append(tag)
         elif not self.hidden and tag in BLOCKS:
@@ -27,6 +48,7 @@ class _Text(HTMLParser):
             self.out.append(" | ")
 
     def handle_endtag(self, tag):
+        self._closed(tag)
         if tag in self.hidden:
             while self.hidden.pop() != tag:
                 pass

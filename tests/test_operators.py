@@ -286,3 +286,83 @@ def test_every_pair_of_keep_and_discard_adds_up(spark):
     d = docs(spark, *("w " * i + "\n" * (i % 3) for i in range(12)))
     for f, (comparison, limit) in itertools.product((filters.length_filter, filters.newline_filter), (("greater", 1), ("less", 2))):
         assert sum(f(d, limit, comparison, a).count() for a in ("keep", "discard")) == 12
+
+
+def test_ocr_ends_and_sections():
+    for text, padded in ((".", ".\n\n"), ("A", "A "), ("# x", "\n\n# x"), ("**b**", "\n\n**b**"), ("a\nFigure 1", "a\nFigure 1\n\n"), ("plain", "plain"), ("a}", "a}\n\n"), ("\\begin{x}", "\n\n\\begin{x}\n\n"), ("\\begin x", "\n\n\\begin x"), ("", "")):
+        assert ocr.pad_ends(text) == padded
+    assert ocr.drop_reference_sections("a\n  ## REFERENCES and more\nx\n## References\ny") == "a\n\n\n[MISSING_PAGE_POST]\n\n\n\n\n[MISSING_PAGE_POST]\n\n"
+    assert ocr.drop_reference_sections("see ## References\n\n[MISSING_PAGE_POST:3]") == "see \n\n[MISSING_PAGE_POST:3]"
+    assert ocr.drop_monster_tables("a\n" + "x & " * 401 + "\nb") == "a\n\nb"
+
+
+def test_ocr_bullets():
+    for text, split in (
+        ("- a b - c d", "- a b\n- c d\n"),
+        ("no bullet - here", "no bullet - here"),
+        ("x\n* a b - c d\ny", "x\n* c d\ny"),
+        ("x\n- 1.2 one - 1 two - three\ny", "x\n\t- 1.2 one\n- 1 two\ny"),
+        ("x\n- a b -  - c d\ny", "x\n- a b\n- c d\ny"),
+    ):
+        assert ocr.split_bullets(text) == split
+
+
+def test_repeated_sentences_against_all_pairs():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(30):
+        parts = [" ".join(rng.choices(["alpha", "beta", "gamma", "zzzzzz", "qqq", "x"], k=rng.randint(2, 14))) for _ in range(25)]
+        parts += rng.choices(parts, k=5)
+        kept, held = [], []
+        for p in parts:
+            repeat = len(p) >= 30 and any(2 * subsequence(p, h) > 0.5 * (len(p) + len(h)) for h in held)
+            held += [p] if len(p) >= 30 else []
+            kept += [] if repeat else [p]
+        assert ocr.drop_repetitions(".".join(parts)) == ".".join(kept)
+
+
+def test_header_lines_above_a_chunk():
+    made = markdown.with_headers(markdown.Chunk("text\n## B", {1: "A", 2: "B", 3: "C", 4: "A"}))
+    assert made.text == "### C\n#### A\ntext\n## B"  # "# A" is within "#### A"
+
+
+def test_html_that_leaves_end_tags_out():
+    for page, text in (
+        ("<html><head><title>t</title><body><p>Body text</p>", "Body text"),
+        ("<head><meta charset=x><style>p{}</style><p>one<p>two", "one\ntwo"),
+        ("<div><nav><a>x</a></div><p>kept</p>", "kept"),
+        ("<body><form><p>hidden</body>", None),
+        ("<nav><ul><li>a<li>b</ul></nav><main>m</main>", "m"),
+        ("<nav><ul><li>a<article>kept", "kept"),
+        ("<script>var a='<p>'</script><p>x</p><footer>f</footer>", "x"),
+    ):
+        assert html.main_text(page) == text
+
+
+def test_bibliographic_record():
+    from corpusmill.operators import metadata
+
+    item = {"title": ["T", "U"], "author": [{"given": "A", "family": "B"}, {"family": "C"}, "D"], "issued": {"date-parts": [[2020, 1]]}, "publisher": "P", "container-title": [], "DOI": "10.1/x", "is-referenced-by-count": 0}
+    assert metadata.crossref_record(item) == {"title": "T", "authors": "A B, C", "year": "2020", "publisher": "P", "journal": None, "pub_url": None, "doi": "10.1/x", "citation_count": 0}
+    assert set(metadata.crossref_record({}).values()) == {None}
+
+
+def test_no_local_scratch_on_a_cluster():
+    from corpusmill.scratch import shared_dir
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master, applicationId, getCheckpointDir = "yarn", "a", staticmethod(lambda: None)
+
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://h:7077"):
+        Session.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session)
+    Session.sparkContext.master = "local[4]"
+    assert shared_dir(Session).startswith("file://")
+    Session.sparkContext.master, Session.sparkContext.getCheckpointDir = "yarn", staticmethod(lambda: "hdfs://h/c")
+    assert shared_dir(Session).startswith("hdfs://h/c/")
