@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import services
+from ..functions import latex
 from ..operators import chunking, cleaning, dedup, embedding, extraction, filters, metadata, perplexity, pii
 from ..sources import files, sinks
 
@@ -18,11 +19,28 @@ ALIASES = {"deduplication": "duplication", "dedup": "duplication", "chunking": "
 
 @dataclass
 class Run:
-    """What a pipeline has done: its rows, lines that couldn't be read, and row counts by stage once exports have run."""
+    """What a pipeline has done: its rows, lines that couldn't be read, and what was counted."""
 
     documents: DataFrame
     bad_lines: DataFrame | None = None
-    counts: dict = field(default_factory=dict)
+    observed: list[tuple[str, Observation]] = field(default_factory=list)
+
+    @property
+    def counts(self) -> list[dict]:
+        """Rows that left each stage up to the last export or upload, and their share of the stage before in percent.
+
+        They are counted by the job of the first export or upload after each stage, without a pass of their own.
+        """
+        out: list[dict] = []
+        for name, o in self.observed:
+            rows = o.get["rows"]
+            before = out[-1]["rows"] if out else rows
+            out.append({"stage": name, "rows": rows, "kept_percent": 100.0 * rows / before if before else 100.0, **{k: v for k, v in o.get.items() if k != "rows"}})
+        return out
+
+
+#: Stages that run a job of their own.
+ACTING = ("export", "qdrant_upload")
 
 
 def _options(config: dict, *names: str) -> dict:
@@ -38,7 +56,14 @@ def _extraction(df: DataFrame, c: dict) -> DataFrame:
 
 def _cleaning(df: DataFrame, c: dict) -> DataFrame:
     processors = [*cleaning.PROCESSORS, *(["latex"] if c.get("enable_latex_correction") else [])]
-    return cleaning.clean(df, processors, c.get("ocr_threshold", 0.99), c.get("min_words", 2))
+    out = cleaning.clean(df, processors, c.get("ocr_threshold", 0.99), c.get("min_words", 2))
+    service = c.get("latex_service") or {}
+    if c.get("enable_latex_correction") and service.get("url"):
+        out = latex.correct(out, services.correction_service(service["url"], service.get("api_key", ""), service.get("model", "")))
+        counts = [F.col(n) for n in ("latex_errors_found", "latex_corrections_made")]
+        kept = [F.col("cleaning")[n].alias(n) for n in out.schema["cleaning"].dataType.names if n != "latex_errors_found"]
+        out = out.withColumn("cleaning", F.struct(*kept, *counts)).drop("latex_errors_found", "latex_corrections_made")
+    return out
 
 
 def _pii(df: DataFrame, c: dict) -> DataFrame:
@@ -46,11 +71,19 @@ def _pii(df: DataFrame, c: dict) -> DataFrame:
         return pii.mask_pii(df, ("EMAIL_ADDRESS",))
     mask = services.masking_service(c["url"], c.get("entities", ("PERSON", "EMAIL_ADDRESS")), c.get("threshold", 0.35))
     masked = F.pandas_udf(lambda s: s.map(mask, na_action="ignore"), "string")
-    return filters.non_trivial(df.withColumn("content", masked(F.col("content"))))
+    out = df.withColumn("_masked", masked(F.col("content")))
+    failed = F.col("content").isNotNull() & F.col("_masked").isNull()
+    out = out.withColumns({"content": F.col("_masked"), "pii_error": F.when(failed, "the masking service failed")}).drop("_masked")
+    good = F.length("content") > 1  # as non_trivial, but that a text which couldn't be masked stays as a null with its error
+    return out.where(F.coalesce(good, F.lit(False)) | (F.col("pii_error").isNotNull() if c.get("on_error", "keep") == "keep" else F.lit(False)))
 
 
 def _metadata(df: DataFrame, c: dict) -> DataFrame:
     out = metadata.extract_metadata(df, tuple(c.get("enabled_formats", metadata.FORMATS)), c.get("fallback_to_filename", True))
+    if c.get("sidecars"):
+        out = metadata.with_sidecars(out, metadata.read_sidecars(df.sparkSession, c["sidecars"]))
+        if c.get("crossref_url"):
+            out = metadata.with_bibliography(out, services.get_json(c["crossref_url"]))
     if c.get("export_metadata", True) and c.get("metadata_destination"):
         metadata.metadata_rows(out).write.mode("overwrite").json(f"{c['metadata_destination'].rstrip('/')}/{c.get('metadata_filename', 'metadata.jsonl')}")
     return out
@@ -119,10 +152,31 @@ def checked(stages: list) -> list[tuple[str, dict]]:
     return out
 
 
-def build(df: DataFrame, stages: list) -> DataFrame:
-    """The documents after all stages, in their order; exports and uploads run as they come."""
-    for name, config in checked(stages):
+def build(df: DataFrame, stages: list, observed: list | None = None) -> DataFrame:
+    """The documents after all stages, in their order; exports and uploads run as they come.
+
+    observed: gets (name, Observation) for the input and each stage before the last export or upload.
+    """
+
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        seen = Observation()
+        observed.append((name, seen))
+        totals = [F.count(F.lit(1)).alias("rows")]
+        if name == "metadata" and "file_format" in df.columns:
+            totals.append(F.count("extracted_metadata").alias("with_metadata"))
+            totals += [F.count(F.when(F.col("file_format") == f, 1)).alias(f"{f}_rows") for f in metadata.FORMATS]
+        if name == "cleaning" and "cleaning" in df.columns:
+            totals += [F.sum(F.col("cleaning")[n]).alias(n) for n in df.schema["cleaning"].dataType.names if n.startswith(("duplicates_removed", "latex_errors", "latex_corr"))]
+        return df.observe(seen, *totals)
+
+    todo = checked(stages)
+    last = max((i for i, (n, _) in enumerate(todo) if n in ACTING), default=-1)
+    if observed is not None and last >= 0:
+        df = counted("input", df)
+    for i, (name, config) in enumerate(todo):
         df = STAGES[name](df, config)
+        if observed is not None and i < last and name not in ACTING:
+            df = counted(name, df)
     return df
 
 
@@ -155,7 +209,8 @@ def run(spark: SparkSession, config: dict) -> Run:
     if resume:
         first = sinks.unprocessed(sinks.with_source_key(first), f"{(resume.get('output_dir') or resume.get('destination')).rstrip('/')}/_processed")
     rest = stages[1:] if stages[0][0] == "extraction" else stages
-    return Run(build(first, [{"name": n, "config": c} for n, c in rest]), bad)
+    observed: list = []
+    return Run(build(first, [{"name": n, "config": c} for n, c in rest], observed), bad, observed)
 
 
 def load(path: str) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,8 +13,17 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; below the local temp folder only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/corpusmill-{spark.sparkContext.applicationId}"
+    """A new folder below spark.checkpoint.dir, or else below the folder that was set for checkpoints.
+
+    Where neither is set, below the local temp folder in a local session; a cluster, whose
+    executors don't share such a folder, is an error.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share; intermediate tables are written there")
+        base = f"file://{tempfile.gettempdir()}/corpusmill-{context.applicationId}"
     return f"{base.rstrip('/')}/corpusmill/{uuid.uuid4().hex}"
 
 

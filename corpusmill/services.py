@@ -68,11 +68,11 @@ def pdf_service(url: str, timeout: float = 300):
 
 
 def masking_service(url: str, entities=("PERSON", "EMAIL_ADDRESS"), threshold: float = 0.35, timeout: float = 120):
-    """A text to ``/predict``; the masked text, or the text itself if the service fails."""
+    """A text to ``/predict``; the masked text, or null if the service fails: a text that isn't masked never comes back."""
 
-    def mask(text: str) -> str:
+    def mask(text: str) -> str | None:
         answer = post_json(f"{url.rstrip('/')}/predict", {"text": text, "entities": list(entities), "score_threshold": threshold, "return_analysis": False}, timeout)
-        return answer["anonymized_text"] if answer and answer.get("success", True) and "anonymized_text" in answer else text
+        return answer["anonymized_text"] if answer and answer.get("success", True) and "anonymized_text" in answer else None
 
     return mask
 

@@ -139,3 +139,33 @@ def test_services():
     finally:
         server.shutdown()
     assert services.post_json("http://127.0.0.1:9/none", {}, 1, tries=1) is None
+
+
+def test_counts_by_stage(spark, corpus, tmp_path):
+    stages = [{"name": "cleaning"}, {"name": "metadata"}, {"name": "length_filter", "config": {"length": 10**6}}, {"name": "export", "config": {"output_dir": str(tmp_path / "o")}}]
+    done = pipeline.run(spark, {"pipeline": {"inputs": {"path": corpus}, "stages": stages}})
+    got = done.counts
+    assert [c["stage"] for c in got] == ["input", "cleaning", "metadata", "length_filter"]
+    assert got[0]["rows"] == got[1]["rows"] > 0 and got[3]["rows"] == 0 and got[3]["kept_percent"] == 0.0
+    assert got[1]["duplicates_removed"] >= 0 and got[2]["md_rows"] + got[2]["html_rows"] <= got[2]["rows"]
+
+
+def test_services_in_their_stages(spark, tmp_path, monkeypatch):
+    """LaTeX correction, OCR sidecars and look-ups run in the stages, and a failed masking leaves no text."""
+    from corpusmill import services
+
+    monkeypatch.setattr(services, "correction_service", lambda *a: lambda formula, problem, text: r"\frac{a}")
+    monkeypatch.setattr(services, "masking_service", lambda *a: lambda text: None if "secret" in text else "masked")
+    monkeypatch.setattr(services, "get_json", lambda url: lambda path: {"message": {"title": ["Found"], "DOI": "10.1000/abc"}})
+    d = spark.createDataFrame([("x/a.pdf", "pdf", r"see $\frac{a$"), ("x/b.md", "md", "secret text")], "file_path string, file_format string, content string")
+    got = pipeline.build(d, [{"name": "cleaning", "config": {"enable_latex_correction": True, "latex_service": {"url": "u"}}}]).orderBy("file_path").collect()
+    assert got[0]["content"] == r"see $\frac{a}$" and got[0]["cleaning"]["latex_corrections_made"] == 1 and got[1]["cleaning"]["latex_errors_found"] == 0
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "a.md").write_text("text doi 10.1000/abc more")
+    (tmp_path / "a" / "a_content_list.json").write_text('[{"text": "A Title", "text_level": 1}]')
+    rows = pipeline.build(d, [{"name": "metadata", "config": {"sidecars": str(tmp_path), "crossref_url": "u"}}]).orderBy("file_path").collect()
+    assert rows[0]["layout_title"] == "A Title" and rows[0]["bibliography"]["title"] == "Found" and rows[1]["layout_title"] == "NA"
+    for on_error, n in (("keep", 2), ("drop", 1)):
+        masked = pipeline.build(d, [{"name": "pii", "config": {"url": "u", "on_error": on_error}}]).orderBy("file_path").collect()
+        assert len(masked) == n and masked[0]["content"] == "masked" and masked[0]["pii_error"] is None
+        assert n == 1 or (masked[1]["content"] is None and masked[1]["pii_error"])
