@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, minhash, pack, suffix_dedup, toxicity
-from corpusmill.llm.common import shared_dir
+from corpusmill.llm.common import drop, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -45,10 +45,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written to the shared folder and read again."""
+    """All stages over documents; each stage's result is written to the shared folder and read again, and goes once the next one stands."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     at = shared_dir(spark)
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
+        drop(docs)  # what the stage before wrote; documents themselves are never touched
         docs = spark.read.parquet(f"{at}/{name}")
+        docs.scratch_path = f"{at}/{name}"
     return docs
