@@ -21,3 +21,15 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).columns
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_identifiers_at_the_ends(spark, tmp_path):
+    """Texts that end in numbers; the query's SQL knows no ISBN, and its $ is the very end."""
+    import duckdb
+
+    texts = ["call 1210290012", "ISBN 9781234567897", "2401.10001", "10.1234/ab", "10.1234/aſK end", "doi:\x0b10.1234/ab", None]
+    spark.createDataFrame([(i * 4 + 2, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = catalog.queries()["identifiers"](spark, str(tmp_path)).toPandas()
+    assert canonical(got) == canonical(con.execute(catalog.oracle_sql()["identifiers"]).df())
