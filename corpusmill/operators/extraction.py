@@ -9,19 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..batches import text_udf
 from ..functions import html as H
 
 
-@F.pandas_udf(T.StringType())
-def _html(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        yield batch.map(H.main_text, na_action="ignore")
-
-
-@F.pandas_udf(T.StringType())
-def _xml(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        yield batch.map(H.xml_text, na_action="ignore")
+_html = text_udf(H.main_text, T.StringType())
+_xml = text_udf(H.xml_text, T.StringType())
 
 
 def html_text(html: Column) -> Column:

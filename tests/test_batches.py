@@ -3,8 +3,8 @@
 import pyarrow as pa
 
 from corpusmill import batches
-from corpusmill.functions import ocr
-from corpusmill.operators import cleaning
+from corpusmill.functions import html, ocr
+from corpusmill.operators import cleaning, extraction
 
 
 def made(udf, texts):
@@ -28,3 +28,8 @@ def test_pieces():
 
 def test_nougat_in_pieces():
     in_pieces(cleaning._post_processed, ocr.post_process, "A sentence of some length that is repeated. ")
+
+
+def test_html_in_pieces():
+    for udf, f in ((extraction._html, html.main_text), (extraction._xml, html.xml_text)):
+        in_pieces(udf, f, "<p>some <b>bold</b> text</p>")
