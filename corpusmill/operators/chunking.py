@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..batches import text_udf
 from ..functions import markdown
 
-CHUNK = "array<struct<content:string,headers:array<string>>>"
+CHUNK = T.ArrayType(T.StructType([T.StructField("content", T.StringType()), T.StructField("headers", T.ArrayType(T.StringType()))]))
+
+
+def splitter(**options):
+    """A UDF: the chunks of a text."""
+    return text_udf(lambda t: [{"content": c.text, "headers": ["#" * k + v for k, v in c.headers.items()]} for c in markdown.chunk(t, **options)], CHUNK)
 
 
 def chunk_documents(df: DataFrame, content: str = "content", headers: str = "headers", **options) -> DataFrame:
@@ -22,13 +26,8 @@ def chunk_documents(df: DataFrame, content: str = "content", headers: str = "hea
     """
     markdown.chunk("", **options)  # unknown options fail here
 
-    @F.pandas_udf(CHUNK)
-    def split(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield batch.map(lambda t: [{"content": c.text, "headers": ["#" * k + v for k, v in c.headers.items()]} for c in markdown.chunk(t or "", **options)])
-
     others = [F.col(f"`{c}`") for c in df.columns if c not in (content, headers, "chunk_index", "embedding", "pipeline_metadata")]
     own = [F.col(f"`{headers}`").alias("_own")] if headers in df.columns else [F.lit(None).cast("array<string>").alias("_own")]
-    rows = df.select(*others, *own, F.posexplode(split(F.col(content))).alias("chunk_index", "_chunk"))
+    rows = df.select(*others, *own, F.posexplode(splitter(**options)(F.col(content))).alias("chunk_index", "_chunk"))
     keep = [F.col(f"`{c}`") for c in df.columns if c not in (content, headers, "chunk_index", "embedding", "pipeline_metadata")]
     return rows.select(*keep, F.col("_chunk.content").alias(content), F.coalesce("_own", "_chunk.headers").alias(headers), "chunk_index")

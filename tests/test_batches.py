@@ -3,8 +3,8 @@
 import pyarrow as pa
 
 from corpusmill import batches
-from corpusmill.functions import html, ocr
-from corpusmill.operators import cleaning, extraction
+from corpusmill.functions import html, markdown, ocr
+from corpusmill.operators import chunking, cleaning, extraction
 
 
 def made(udf, texts):
@@ -33,3 +33,11 @@ def test_nougat_in_pieces():
 def test_html_in_pieces():
     for udf, f in ((extraction._html, html.main_text), (extraction._xml, html.xml_text)):
         in_pieces(udf, f, "<p>some <b>bold</b> text</p>")
+
+
+def test_chunks_in_pieces():
+    texts = ["# Head\n\nA sentence of some length. " * 600] * 200
+    out = made(chunking.splitter(max_chunk_size=512), texts)
+    assert len(out) > 3 and sum(map(len, out)) == len(texts)
+    want = [{"content": c.text, "headers": ["#Head"]} for c in markdown.chunk(texts[0])]
+    assert all(v == want for part in out for v in part.to_pylist())
