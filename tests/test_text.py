@@ -109,3 +109,15 @@ def test_shingles(spark):
 def test_l2(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     assert [r[0] for r in df.select(X.l2_normalized(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
+
+
+def test_sentences_look_back_a_little():
+    """Many full stops that end no sentence: each looks at the word before it, not at all of the text since the last end."""
+    import time
+
+    from corpusmill.functions import markdown
+
+    assert markdown.sentences("See Fig. 3 and al\n. Then (e.g. this) ends. " + "w" * 40 + ". Next A. Smith et al. say so! End") == ["See Fig. 3 and al\n. Then (e.g. this) ends. " + "w" * 40 + ".", "Next A. Smith et al. say so!", "End"]
+    began = time.process_time()
+    assert len(markdown.sentences("word al. " * 20_000)) == 1
+    assert time.process_time() - began < 2
