@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..scratch import saved
+
+#: Words whose counts are broadcast, and characters that one of them has at most: some 10 MB.
+COMMON, LONGEST = 1 << 16, 64
 
 #: For token ids of a window and how many of the last count: the mean loss over those that are predicted, all but the first of what counts.
 WindowLoss = Callable[[list[int], int], float]
@@ -52,14 +56,21 @@ def model_perplexity(df: DataFrame, make_scorer: Callable[[], Callable[[str], fl
 def unigram_perplexity(df: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
     """Add ``perplexity`` of each row under the words of all rows with one added to each count; null without words.
 
-    A stand-in for a neural model. Words are counted in each document first, so a frequent word is a row of a
-    document, and the counts' partial sums make it one of a task. Keys are unique.
+    A stand-in for a neural model. Words are counted once for all rows, with partial sums. The counts of the COMMON
+    most frequent words are broadcast, and a row's losses under them are summed where it is read; only other words,
+    a row for each in a document, are shuffled to meet their counts. Keys are unique.
     """
-    each = df.select(F.col(key).alias("key"), F.explode(X.words(F.lower(F.col(content)))).alias("word")).groupBy("key", "word").agg(F.count("*").alias("n"))
-    corpus = each.groupBy("word").agg(F.sum("n").alias("c"))
+    text = df.select(F.col(key).alias("key"), F.explode(X.words(F.lower(F.col(content)))).alias("word"))
+    corpus = saved(text.groupBy("word").agg(F.count("*").alias("c")), "words")
     size = corpus.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    loss = -F.log((F.col("c") + 1) / F.lit(size[0] + size[1]))
-    found = each.join(corpus, "word").groupBy("key").agg(F.exp(F.sum(loss * F.col("n")) / F.sum("n")).alias("perplexity"))
+    common = corpus.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(COMMON).select("word", "c")
+    # a word without a count here stays by its name, all others of a row become one
+    each = text.join(F.broadcast(common), "word", "left").withColumn("rare", F.when(F.col("c").isNull(), F.col("word")))
+    lost = -F.log((F.col("c") + 1) / F.lit(size[0] + size[1]))
+    each = each.groupBy("key", "rare").agg(F.count("*").alias("n"), F.sum(lost).alias("lost"))
+    known = each.where("rare is null").select("key", "n", "lost")
+    rare = each.where("rare is not null").select("key", "n", F.col("rare").alias("word")).join(corpus, "word").select("key", "n", (lost * F.col("n")).alias("lost"))
+    found = known.unionByName(rare).groupBy("key").agg(F.exp(F.sum("lost") / F.sum("n")).alias("perplexity"))
     return df.drop("perplexity").join(found, F.col(key) == F.col("key"), "left").drop(found["key"])
 
 

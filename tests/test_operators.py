@@ -366,3 +366,18 @@ def test_no_local_scratch_on_a_cluster():
     assert shared_dir(Session).startswith("file://")
     Session.sparkContext.master, Session.sparkContext.getCheckpointDir = "yarn", staticmethod(lambda: "hdfs://h/c")
     assert shared_dir(Session).startswith("hdfs://h/c/")
+
+
+@pytest.mark.parametrize("common", [1, 3, 1000])
+def test_unigram_perplexity_by_broadcast_and_by_shuffle(spark, monkeypatch, common):
+    """Whatever the number of broadcast words, long words among them or not, losses are those over all words."""
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(perplexity, "COMMON", common)
+    texts = ["a a b", "A c " + "x" * 70, "d", "", None, "b c a " + "x" * 70 + " a"]
+    counts = Counter(w for t in texts for w in (t or "").lower().split())
+    total = sum(counts.values()) + len(counts)
+    want = [math.exp(sum(-math.log((counts[w] + 1) / total) for w in t.lower().split()) / len(t.split())) if t else None for t in texts]
+    got = {r["doc_id"]: r["perplexity"] for r in perplexity.unigram_perplexity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string")).collect()}
+    assert [got[i] for i in range(len(texts))] == [w if w is None else pytest.approx(w, rel=1e-12) for w in want]
