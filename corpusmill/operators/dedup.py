@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..scratch import saved
 
 PRIME = 4294967311  # the first above 2**32
+BLOCK = 256  # shingles that are permuted at once: 128 permutations of them stay in a core's cache
 
 
 def exact_groups(df: DataFrame, content: str = "content", key: str = "doc_id") -> DataFrame:
@@ -64,23 +65,28 @@ def shingle_hashes(text: str, size: int) -> np.ndarray:
     """32-bit hashes of the distinct runs of ``size`` lower-cased words."""
     w = text.lower().split()
     grams = {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)}
-    return np.array([int.from_bytes(hashlib.md5(g.encode()).digest()[:4], "big") for g in grams], np.uint64)
+    digests = b"".join([hashlib.md5(g.encode()).digest() for g in grams])
+    return np.frombuffer(digests, ">u4")[::4].astype(np.uint64)
 
 
 def _band_keys(size: int, num_perm: int, bands: int, rows: int):
     a, b = (x.astype(np.uint64)[:, None] for x in permutations(num_perm))
+    prime = np.uint64(PRIME)
 
     def run(batches):
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
-                h = shingle_hashes(text or "", size)
+            for text in batch.column(1):
+                h = shingle_hashes(text.as_py() or "", size)
                 if not len(h):
                     out.append(None)
                     continue
                 least = np.full(num_perm, np.iinfo(np.uint64).max, np.uint64)
-                for at in range(0, len(h), 4096):
-                    least = np.minimum(least, ((a * h[None, at : at + 4096] + b) % np.uint64(PRIME)).min(1))
+                for at in range(0, len(h), BLOCK):
+                    x = a * h[None, at : at + BLOCK]
+                    x += b
+                    x %= prime
+                    np.minimum(least, x.min(1), out=least)
                 out.append([hashlib.blake2b(j.to_bytes(2, "big") + least[j * rows : (j + 1) * rows].tobytes(), digest_size=16).digest() for j in range(bands)] + [hashlib.blake2b(least.tobytes(), digest_size=16).digest()])
             yield pa.record_batch({"key": batch.column(0), "bands": pa.array([x and x[:-1] for x in out], pa.list_(pa.binary())), "signature": pa.array([x and x[-1] for x in out], pa.binary())})
 

@@ -381,3 +381,22 @@ def test_unigram_perplexity_by_broadcast_and_by_shuffle(spark, monkeypatch, comm
     want = [math.exp(sum(-math.log((counts[w] + 1) / total) for w in t.lower().split()) / len(t.split())) if t else None for t in texts]
     got = {r["doc_id"]: r["perplexity"] for r in perplexity.unigram_perplexity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string")).collect()}
     assert [got[i] for i in range(len(texts))] == [w if w is None else pytest.approx(w, rel=1e-12) for w in want]
+
+
+def test_signatures_by_blocks():
+    """Signatures from blocks that stay in a core's cache are those from all shingles at once."""
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    assert dedup.BLOCK * 128 * 8 <= 1 << 20
+    texts = [" ".join(f"w{(i * k) % 1009}" for i in range(1 + 700 * k)) for k in range(4)] + [None]
+    out = list(dedup._band_keys(3, 128, 9, 13)([pa.record_batch({"k": pa.array(range(5)), "t": pa.array(texts)})]))[0]
+    for text, got in zip(texts, out.column(2).to_pylist()):
+        w = (text or "").split()
+        grams = {" ".join(w[i : i + 3]) for i in range(len(w) - 2)}
+        h = np.array([int(hashlib.md5(g.encode()).hexdigest()[:8], 16) for g in grams], np.uint64)
+        a, b = (x.astype(np.uint64)[:, None] for x in dedup.permutations(128))
+        want = hashlib.blake2b(((a * h + b) % np.uint64(dedup.PRIME)).min(1).tobytes(), digest_size=16).digest() if grams else None
+        assert got == want
