@@ -43,15 +43,7 @@ class ToxicityModel:
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
     """The text, A-Z lower-cased, in windows of at most ``size`` bytes that end after a space where one is in their second half."""
-    text, out, at = text.lower(), [], 0
-    while at < len(text):
-        to = at + size
-        if to < len(text):
-            k = text.rfind(b" ", at + size // 2, to)
-            to = k + 1 if k > 0 else to
-        out.append(text[at:to])
-        at = to
-    return out
+    return re.findall(rb"(?s:(?=.{%d})(?:.{%d,%d} |.{%d})|.+)" % (size + 1, size // 2, size - 1, size), text.lower())
 
 
 def _compressor(content: bytes) -> zs.ZstdCompressor:
@@ -61,19 +53,23 @@ def _compressor(content: bytes) -> zs.ZstdCompressor:
     return zs.ZstdCompressor(compression_params=params, dict_data=held)
 
 
-def _lengths(content: bytes, parts: list[bytes]) -> np.ndarray:
-    compress = _compressor(content).compress
-    return np.array([len(compress(w)) for w in parts], np.int64)
+def _lengths(compressor: zs.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
+    """Bytes of each part compressed by itself. One call for all, so that a dictionary's tables stay in the cache."""
+    return np.fromiter(map(len, compressor.multi_compress_to_buffer(parts) if parts else ()), np.int64, len(parts))
 
 
 class _Windows:
-    """The windows of texts, laid end to end, and the text of each."""
+    """The windows of texts, laid end to end, and the text of each; the distinct ones, and which of them each window is."""
 
     def __init__(self, texts: list[bytes]):
         each = [windows(t) for t in texts]
         self.parts = [w for x in each for w in x]
         self.of = np.repeat(np.arange(len(texts)), [len(x) for x in each])
         self.texts = len(texts)
+        place = dict.fromkeys(self.parts)
+        self.distinct = list(place)
+        place.update(zip(self.distinct, range(len(place))))
+        self.which = np.fromiter(map(place.__getitem__, self.parts), np.int64, len(self.parts))
 
     def take(self, rows) -> list[bytes]:
         return [self.parts[i] for i in rows.tolist()]
@@ -104,22 +100,26 @@ def train_pair(toxic: list[bytes], ordinary: list[bytes], seed: int) -> tuple[by
     rounds: a dictionary trained on one half of the toxic texts measures the windows of the other half,
     those that gain most train the next one.
     """
+    return _pair(_Windows(toxic), _Windows(ordinary), seed)
+
+
+def _pair(t: _Windows, o: _Windows, seed: int) -> tuple[bytes, bytes]:
     rng = np.random.default_rng(seed)
-    t, o = _Windows(toxic), _Windows(ordinary)
     plain = o.take(rng.permutation(len(o.parts)))
     cut = len(plain) // 2
     base = train_dictionary(BASE_BYTES, plain[:cut])
     ordinary_end = train_dictionary(OWN_BYTES, plain[cut:])
     half = rng.permutation(np.arange(t.texts) % 2)[t.of]
     rows = [np.flatnonzero(half == h) for h in (0, 1)]
-    length = _lengths(base + ordinary_end, t.parts)
+    parts = [t.take(r) for r in rows]
+    length = _lengths(_compressor(base + ordinary_end), t.parts)
     chosen = np.arange(len(t.parts))
     for _ in range(ROUNDS):
         gain = np.zeros(len(t.parts), np.int64)
         for h in (0, 1):
             end = train_dictionary(OWN_BYTES, t.take(chosen[half[chosen] == h]))
             other = rows[1 - h]
-            gain[other] = length[other] - _lengths(base + end, t.take(other))
+            gain[other] = length[other] - _lengths(_compressor(base + end), parts[1 - h])
         best = _chosen(gain, t.of)
         if min(np.bincount(half[best], minlength=2)) == 0:
             break
@@ -130,10 +130,10 @@ def train_pair(toxic: list[bytes], ordinary: list[bytes], seed: int) -> tuple[by
 def histograms(texts: list[bytes], pairs: list[tuple]) -> np.ndarray:
     """For each text how many of its windows have each gain: bytes by which toxic dictionaries compress them better than ordinary ones, summed over pairs."""
     w = _Windows(texts)
-    gain = np.zeros(len(w.parts), np.int64)
+    gain = np.zeros(len(w.distinct), np.int64)
     for toxic, ordinary in pairs:
-        gain += np.array([len(ordinary.compress(x)) - len(toxic.compress(x)) for x in w.parts], np.int64)
-    place = w.of * (2 * GAINS + 1) + np.clip(gain, -GAINS, GAINS) + GAINS
+        gain += _lengths(ordinary, w.distinct) - _lengths(toxic, w.distinct)
+    place = w.of * (2 * GAINS + 1) + (np.clip(gain, -GAINS, GAINS) + GAINS)[w.which]
     return np.bincount(place, minlength=w.texts * (2 * GAINS + 1)).reshape(w.texts, -1)
 
 
@@ -202,10 +202,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def _fold(toxic: list[bytes], ordinary: list[bytes], fold: int, folds: int, pairs: int) -> dict:
     """Pairs of dictionaries trained without every ``folds``-th text, and the histograms of the texts left out; of all texts for a negative fold."""
     classes = ordinary, toxic
+    o, t = (_Windows([x for i, x in enumerate(c) if fold < 0 or i % folds != fold]) for c in classes)
+    made = [_pair(t, o, seed) for seed in range(pairs)]
     if fold < 0:
-        return {"pairs": [train_pair(toxic, ordinary, seed) for seed in range(pairs)], "counts": []}
-    seen = [[t for i, t in enumerate(c) if i % folds != fold] for c in classes]
-    held = [tuple(map(_compressor, train_pair(seen[1], seen[0], seed))) for seed in range(pairs)]
+        return {"pairs": made, "counts": []}
+    held = [tuple(map(_compressor, p)) for p in made]
     return {"pairs": [], "counts": [histograms(c[fold::folds], held) for c in classes]}
 
 

@@ -14,6 +14,51 @@ def test_windows_cover_the_text():
         assert b"".join(parts) == text.lower() and all(len(p) <= t.WINDOW for p in parts)
 
 
+def test_windows_end_where_a_plain_loop_ends_them():
+    rng = np.random.default_rng(5)
+    for n in [*range(140), 5000]:
+        for alphabet in (b"a B\n\xc3", b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ", b"x"):
+            text = bytes(rng.choice(np.frombuffer(alphabet, np.uint8), n))
+            parts, at = [], 0
+            while at < n:
+                to = at + t.WINDOW
+                if to < n:
+                    to = text.rfind(b" ", at + t.WINDOW // 2, to) + 1 or to
+                parts.append(text[at:to].lower())
+                at = to
+            assert t.windows(text) == parts
+
+
+class Counted:
+    """A compressor and the windows that it was given."""
+
+    def __init__(self, content):
+        self.real, self.seen = t._compressor(content), []
+
+    def compress(self, part):
+        self.seen.append(part)
+        return self.real.compress(part)
+
+    def multi_compress_to_buffer(self, parts):
+        self.seen += parts
+        return self.real.multi_compress_to_buffer(parts)
+
+
+def test_equal_windows_are_compressed_once_and_count_each_time():
+    texts = [b"vile words and kind ones, " * 200, b"", b"kind words " * 300, b"vile words and kind ones, " * 200, b"Z" * 6400]
+    pairs = [(Counted(b"vile words and kind ones, " * 3), Counted(b"kind words " * 5)), (Counted(b"z" * 64), Counted(b"some other text"))]
+    got = t.histograms(texts, pairs)
+    for c in (c for p in pairs for c in p):
+        assert sorted(c.seen) == sorted({w for x in texts for w in t.windows(x)})
+    for text, row in zip(texts, got):
+        want = np.zeros(2 * t.GAINS + 1, np.int64)
+        for w in t.windows(text):
+            gain = sum(len(o.real.compress(w)) - len(own.real.compress(w)) for own, o in pairs)
+            want[min(max(gain, -t.GAINS), t.GAINS) + t.GAINS] += 1
+        assert (row == want).all()
+    assert not t.histograms([b""], pairs).any()
+
+
 @pytest.fixture(scope="module")
 def sample(spark):
     return spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
